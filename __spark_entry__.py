@@ -18,20 +18,29 @@ from shelfwise.operators import aggregates, distributions, inference, metrics, p
 from shelfwise.plans import questions, summary
 from shelfwise.session import materialize, scratch_path
 from shelfwise.sources import csv_import, tables
-from shelfwise.sources.retail_views import read_base, retail_tables
+from shelfwise.sources.retail_views import TABLES, LazyTables, read_base, retail_tables
 
 VENDOR = 5
 SMOKE_DIR = "/root/testdata/sf0.001"
 _stored: dict[tuple[str, str], DataFrame] = {}
+_tables: dict[tuple[str, str], LazyTables] = {}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _sources(spark: SparkSession, folder: str) -> LazyTables:
+    """The source tables of an input folder, as lazy plans."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _tables:
+        _tables[key] = retail_tables(spark, folder)
+    return _tables[key]
+
+
 def _summary(spark: SparkSession, folder: str) -> DataFrame:
     """The stored summary table of an input folder."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _stored:
-        built = summary.build_summary(retail_tables(spark, folder))
+        built = summary.build_summary(_sources(spark, folder))
         _stored[key] = materialize(built, "vendor_sales_summary")
     return _stored[key]
 
@@ -51,7 +60,7 @@ RATIOS = ("ProfitMargin", "StockTurnover", "SalesPurchaseRatio")
 
 
 def _on_tables(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    return lambda spark, folder: _doubles(build(retail_tables(spark, folder)))
+    return lambda spark, folder: _doubles(build(_sources(spark, folder)))
 
 
 def _on_summary(build: Callable[[DataFrame], DataFrame], round_: Sequence[str] = ()) -> Query:
@@ -80,7 +89,7 @@ def _write_csv(df: DataFrame, path: str) -> None:
 def _csv_prices(spark: SparkSession, folder: str) -> DataFrame:
     """Price list as CSV with untidy headers, imported again."""
     path = scratch_path(spark, "csv")
-    prices = retail_tables(spark, folder)["purchase_prices"]
+    prices = _sources(spark, folder)["purchase_prices"]
     volume = F.coalesce(F.col("Volume").cast("string"), F.lit("Unknown"))
     _write_csv(prices.withColumn("Volume", volume), f"{path}/prices.csv")
     csv_import.load_csv(spark, f"{path}/prices.csv", f"{path}/prices")
@@ -108,8 +117,8 @@ def _csv_invoices(spark: SparkSession, folder: str) -> DataFrame:
 def _csv_status(spark: SparkSession, folder: str) -> DataFrame:
     """All source tables as CSV files, imported as a set; two files are missing."""
     path = scratch_path(spark, "csv")
-    for name, df in retail_tables(spark, folder).items():
-        _write_csv(df, f"{path}/{name}.csv")
+    for name in TABLES:
+        _write_csv(_sources(spark, folder)[name], f"{path}/{name}.csv")
     report = csv_import.import_tables(spark, path, f"{path}/tables")
     return report.select("table", "status", "rows")
 
@@ -140,7 +149,7 @@ def _schema_profile(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def _key_audit(spark: SparkSession, folder: str) -> DataFrame:
-    t = retail_tables(spark, folder)
+    t = _sources(spark, folder)
     strict = summary.build_summary(t, ("VendorNumber", "Brand"))
     checks = {
         "prices": (t["purchase_prices"], ["VendorNumber", "Brand"]),
@@ -190,7 +199,7 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
 
     # sources and sinks
-    for name in ("purchases", "purchase_prices", "sales", "vendor_invoice"):
+    for name in TABLES:
         key = "VendorNo" if name == "sales" else "VendorNumber"
         found[f"scan_{name}"] = _on_tables(lambda t, n=name: t[n])
         found[f"vendor_rows_{name}"] = _on_tables(
@@ -206,7 +215,7 @@ def queries() -> dict[str, Query]:
 
     # profiling
     found |= {
-        "table_counts": _on_tables(profile.table_counts),
+        "table_counts": _on_tables(lambda t: profile.table_counts({n: t[n] for n in TABLES})),
         "schema_profile": _on_tables(_schema_profile),
         "distinct_vendor_names": _on_tables(
             lambda t: profile.distinct_values(_raw_summary(t), "VendorName")

@@ -8,79 +8,85 @@ they hold at any scale factor. Amounts are computed in whole cents with
 
 from __future__ import annotations
 
-from decimal import Decimal
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BASE_TABLES = ("supplier", "part", "orders", "lineitem")
-MONEY_TYPE = "decimal(12,2)"
+TABLES = ("purchases", "purchase_prices", "sales", "vendor_invoice")
+CENTS = "CAST(round(p_retailprice * 100) AS BIGINT)"
 
 
-def read_base(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Lazy scans of the base tables."""
-    return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in BASE_TABLES}
+class LazyTables(dict):
+    """Tables by name, each built when it is first asked for."""
 
+    def __init__(self, build: Callable[[str], DataFrame]):
+        super().__init__()
+        self._build = build
 
-def _dollars(cents: Column) -> Column:
-    return (cents.cast("bigint") * F.lit(Decimal("0.01"))).cast(MONEY_TYPE)
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._build(name)
+        return self[name]
 
 
-def _cents(amount: str) -> Column:
-    return F.round(F.col(amount) * 100).cast("bigint")
+def read_base(spark: SparkSession, folder: str) -> LazyTables:
+    """Scans of the base tables."""
+    return LazyTables(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
-def _suppliers(base: dict[str, DataFrame]) -> Column:
-    return base["supplier"].agg(F.count(F.lit(1)).alias("n")).scalar()
+def _with_suppliers(base: LazyTables, table: str) -> DataFrame:
+    """A base table with the number of suppliers as the column ``suppliers``."""
+    count = base["supplier"].agg(F.count(F.lit(1)).alias("n")).scalar()
+    return base[table].withColumn("suppliers", count)
 
 
-def purchase_prices(base: dict[str, DataFrame]) -> DataFrame:
+def _dollars(cents: str) -> str:
+    return f"CAST(CAST({cents} AS BIGINT) * 0.01BD AS DECIMAL(12,2))"
+
+
+def purchase_prices(base: LazyTables) -> DataFrame:
     """Price list: one row per (vendor, brand), some brands with a second vendor."""
-    suppliers = _suppliers(base)
-    part = base["part"].select(
-        F.col("p_partkey").alias("Brand"),
-        F.concat("p_name", F.lit(" "), "p_brand").alias("Description"),
-        _cents("p_retailprice").alias("cents"),
-        F.col("p_size"),
+    part = _with_suppliers(base, "part").selectExpr(
+        "p_partkey AS Brand",
+        "suppliers",
+        "concat(p_name, ' ', p_brand) AS Description",
+        f"{CENTS} * p_size AS list_price",
+        "CAST(p_size * 50 AS INT) AS volume_ml",
     )
-    brand, list_price = F.col("Brand"), F.col("cents") * F.col("p_size")
-    main = part.select(
-        (brand % suppliers).alias("VendorNumber"),
+    cost = _dollars("floor(list_price * (45 + Brand % 60) / 1000)")
+    main = part.selectExpr(
+        "Brand % suppliers AS VendorNumber",
         "Brand",
         "Description",
-        _dollars(F.floor(list_price / 10)).alias("Price"),
-        F.when(brand % 97 == 0, F.lit(Decimal("0.00")).cast(MONEY_TYPE))
-        .otherwise(_dollars(F.floor(list_price * (45 + brand % 60) / 1000)))
-        .alias("PurchasePrice"),
-        F.when(brand % 41 != 0, F.col("p_size") * 50).cast("int").alias("Volume"),
+        f"{_dollars('floor(list_price / 10)')} AS Price",
+        f"CASE WHEN Brand % 97 = 0 THEN CAST(0 AS DECIMAL(12,2)) ELSE {cost} END AS PurchasePrice",
+        "CASE WHEN Brand % 41 <> 0 THEN volume_ml END AS Volume",
     )
-    second = part.where(brand % 53 == 0).select(
-        ((brand + 1) % suppliers).alias("VendorNumber"),
+    second = part.where("Brand % 53 = 0").selectExpr(
+        "(Brand + 1) % suppliers AS VendorNumber",
         "Brand",
         "Description",
-        _dollars(F.floor(list_price / 10 + 100)).alias("Price"),
-        _dollars(F.floor(list_price / 12)).alias("PurchasePrice"),
-        (F.col("p_size") * 50).cast("int").alias("Volume"),
+        f"{_dollars('floor(list_price / 10 + 100)')} AS Price",
+        f"{_dollars('floor(list_price / 12)')} AS PurchasePrice",
+        "volume_ml AS Volume",
     )
     return main.unionByName(second)
 
 
-def purchases(base: dict[str, DataFrame]) -> DataFrame:
+def purchases(base: LazyTables) -> DataFrame:
     """Purchase lines: the finished order lines at the cost of their main vendor."""
-    suppliers = _suppliers(base)
-    lines = base["lineitem"].where("l_linestatus = 'F'").select(
-        (F.col("l_partkey") % suppliers).alias("VendorNumber"),
-        F.col("l_partkey").alias("Brand"),
-        F.col("l_orderkey").alias("PONumber"),
-        F.col("l_quantity").cast("int").alias("Quantity"),
+    lines = _with_suppliers(base, "lineitem").where("l_linestatus = 'F'").selectExpr(
+        "l_partkey % suppliers AS VendorNumber",
+        "l_partkey AS Brand",
+        "l_orderkey AS PONumber",
+        "CAST(l_quantity AS INT) AS Quantity",
     )
-    names = base["supplier"].select(
-        F.col("s_suppkey").alias("VendorNumber"),
-        F.concat("s_name", F.lit("   ")).alias("VendorName"),
+    names = base["supplier"].selectExpr(
+        "s_suppkey AS VendorNumber", "concat(s_name, '   ') AS VendorName"
     )
     prices = purchase_prices(base).select("VendorNumber", "Brand", "Description", "PurchasePrice")
     named_prices = prices.join(names, "VendorNumber")
-    return lines.join(named_prices, ["VendorNumber", "Brand"]).select(
+    return lines.join(named_prices, ["VendorNumber", "Brand"]).selectExpr(
         "VendorNumber",
         "VendorName",
         "Brand",
@@ -88,53 +94,52 @@ def purchases(base: dict[str, DataFrame]) -> DataFrame:
         "PONumber",
         "PurchasePrice",
         "Quantity",
-        (F.col("PurchasePrice") * F.col("Quantity")).cast(MONEY_TYPE).alias("Dollars"),
+        "CAST(PurchasePrice * Quantity AS DECIMAL(12,2)) AS Dollars",
     )
 
 
-def sales(base: dict[str, DataFrame]) -> DataFrame:
+def sales(base: LazyTables) -> DataFrame:
     """Sale lines: the open order lines, some brands never sold."""
-    lines = base["lineitem"].where("l_linestatus = 'O' AND l_partkey % 23 <> 0").select(
-        F.col("l_partkey").alias("Brand"),
-        F.col("l_quantity").cast("int").alias("SalesQuantity"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
-        F.round(F.col("l_tax") * 100).cast("int").alias("tax"),
+    sold = "l_linestatus = 'O' AND l_partkey % 23 <> 0"
+    lines = _with_suppliers(base, "lineitem").where(sold).selectExpr(
+        "l_partkey % suppliers AS VendorNo",
+        "l_partkey AS Brand",
+        "CAST(l_quantity AS INT) AS SalesQuantity",
+        "CAST(round(l_discount * 100) AS INT) AS discount",
+        "CAST(round(l_tax * 100) AS INT) AS tax",
     )
-    part = base["part"].select(
-        F.col("p_partkey").alias("Brand"),
-        (_cents("p_retailprice") * F.col("p_size")).alias("list_price"),
-    )
-    price = _dollars(F.floor(F.col("list_price") * (100 - F.col("discount")) / 1000))
-    priced = lines.join(part, "Brand").withColumn("SalesPrice", price)
-    return priced.select(
-        (F.col("Brand") % _suppliers(base)).alias("VendorNo"),
+    part = base["part"].selectExpr("p_partkey AS Brand", f"{CENTS} * p_size AS list_price")
+    price = _dollars("floor(list_price * (100 - discount) / 1000)")
+    priced = lines.join(part, "Brand").selectExpr("*", f"{price} AS SalesPrice")
+    return priced.selectExpr(
+        "VendorNo",
         "Brand",
         "SalesQuantity",
         "SalesPrice",
-        (F.col("SalesPrice") * F.col("SalesQuantity")).cast(MONEY_TYPE).alias("SalesDollars"),
-        (F.col("SalesQuantity") * F.col("tax")).cast(MONEY_TYPE).alias("ExciseTax"),
+        "CAST(SalesPrice * SalesQuantity AS DECIMAL(12,2)) AS SalesDollars",
+        "CAST(SalesQuantity * tax AS DECIMAL(12,2)) AS ExciseTax",
     )
 
 
-def vendor_invoice(base: dict[str, DataFrame]) -> DataFrame:
+def vendor_invoice(base: LazyTables) -> DataFrame:
     """Freight invoices: one per order, one vendor has none."""
-    vendor = F.col("o_custkey") % _suppliers(base)
-    cents = F.round(F.col("o_totalprice") * 100)
-    return base["orders"].withColumn("VendorNumber", vendor).where("VendorNumber <> 7").select(
-        "VendorNumber",
-        F.col("o_orderkey").alias("PONumber"),
-        (1 + F.col("o_orderkey") % 500).cast("int").alias("Quantity"),
-        _dollars(F.floor(cents)).alias("Dollars"),
-        _dollars(F.floor(cents / 200)).alias("Freight"),
+    cents = "round(o_totalprice * 100)"
+    return _with_suppliers(base, "orders").where("o_custkey % suppliers <> 7").selectExpr(
+        "o_custkey % suppliers AS VendorNumber",
+        "o_orderkey AS PONumber",
+        "CAST(1 + o_orderkey % 500 AS INT) AS Quantity",
+        f"{_dollars(f'floor({cents})')} AS Dollars",
+        f"{_dollars(f'floor({cents} / 200)')} AS Freight",
     )
 
 
-def retail_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All four source tables by name."""
+def retail_tables(spark: SparkSession, folder: str) -> LazyTables:
+    """The four source tables by name."""
     base = read_base(spark, folder)
-    return {
-        "purchases": purchases(base),
-        "purchase_prices": purchase_prices(base),
-        "sales": sales(base),
-        "vendor_invoice": vendor_invoice(base),
+    views = {
+        "purchases": purchases,
+        "purchase_prices": purchase_prices,
+        "sales": sales,
+        "vendor_invoice": vendor_invoice,
     }
+    return LazyTables(lambda name: views[name](base))
