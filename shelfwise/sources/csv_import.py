@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
@@ -71,45 +71,53 @@ class ColumnRule:
     max_length: int
     lost: int
 
-    def typed(self) -> Column:
-        """The typed column; cells that do not fit the kind become null."""
-        cell = _cell(self.name)
+    def typed(self) -> str:
+        """SQL of the typed column; cells that do not fit the kind become null."""
+        cell = _quoted(self.name)
         if self.kind == "bool":
-            truth = F.when(F.lower(cell) == "true", 1).when(F.lower(cell) == "false", 0)
-            return truth.cast(self.type).alias(self.name)
-        if self.kind == "int" or self.kind == "decimal":
-            return _number(cell, self.type).alias(self.name)
-        if self.kind == "date":
-            return _date(cell).alias(self.name)
-        return cell.alias(self.name)
+            value = f"CAST(lower({cell}) = 'true' AS INT)"
+        elif self.kind in ("int", "decimal"):
+            value = _number(cell, self.type.simpleString())
+        elif self.kind == "date":
+            value = _date(cell)
+        else:
+            value = cell
+        return f"{value} AS {cell}"
+
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-def _cell(name: str) -> Column:
-    """The cell text, null where the text stands for a missing value."""
-    text = F.col(f"`{name}`")
-    return F.when(~text.isin(*MISSING_TEXTS), text)
 
+def _matches(cell: str, pattern: str) -> str:
+    return f"{cell} RLIKE r'{pattern}'"
 
-def _number(cell: Column, kind: DataType) -> Column:
-    return F.when(cell.rlike(NUMBER), F.trim(cell)).try_cast(kind)
 
+def _number(cell: str, kind: str) -> str:
+    """The cell as a number of a type, null if it is none or does not fit."""
+    return f"CASE WHEN {_matches(cell, NUMBER)} THEN try_cast(trim({cell}) AS {kind}) END"
 
-def _date(cell: Column) -> Column:
+
+def _date(cell: str) -> str:
     """Year-first or day-first date; each text is parsed with one form only."""
-    text = F.trim(cell)
-    date = F.lit(None).cast("date")
-    for pattern, form in reversed(DATE_FORMS):
-        date = F.when(text.rlike(pattern), F.try_to_date(text, form)).otherwise(date)
-    return date
+    cases = " ".join(
+        f"WHEN {_matches(f'trim({cell})', pattern)} THEN try_to_date(trim({cell}), '{form}')"
+        for pattern, form in DATE_FORMS
+    )
+    return f"CASE {cases} END"
 
 
 def read_csv_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """All columns as text, first line as header, byte-order mark dropped.
 
-    ``multiline`` allows line breaks inside quotes; such a file is not split.
+    Texts that stand for a missing value are null. ``multiline`` allows line
+    breaks inside quotes; such a file is not split.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("encoding", "UTF-8")
-    return normalize_columns(reader.option("multiLine", multiline).csv(path))
+    raw = normalize_columns(reader.option("multiLine", multiline).csv(path))
+    missing = ", ".join(f"'{text}'" for text in MISSING_TEXTS)
+    known = "CASE WHEN {0} NOT IN ({1}) THEN {0} END AS {0}"
+    return raw.selectExpr(*[known.format(_quoted(c), missing) for c in raw.columns])
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -123,13 +131,13 @@ def sample_cells(raw: DataFrame, rows: int) -> DataFrame:
     Reads the head of the file; a column that is sparse there is read on until
     enough cells are found.
     """
-    head = raw.select(*[_cell(c).alias(c) for c in raw.columns]).take(rows)
+    head = raw.take(rows)
     cells: list[tuple[str, int, str]] = []
     for i, name in enumerate(raw.columns):
         found = [row[i] for row in head if row[i] is not None]
         if len(found) < rows and len(head) == rows:
-            known = raw.select(_cell(name).alias("cell")).where("cell IS NOT NULL")
-            found = [row["cell"] for row in known.take(rows)]
+            cell = _quoted(name)
+            found = [row[0] for row in raw.where(f"{cell} IS NOT NULL").select(cell).take(rows)]
         cells += [(name, nr, text) for nr, text in enumerate(found)]
     return raw.sparkSession.createDataFrame(cells, "column string, nr int, cell string")
 
@@ -171,19 +179,18 @@ def infer_rules(
 
 def _sample_shares(raw: DataFrame, dates: int, numbers: int, ints: int) -> dict[str, dict]:
     """Share of first cells that read as each kind, per column."""
-    cell, nr = F.col("cell"), F.col("nr")
-    trimmed = F.trim(cell)
 
-    def share(hit: Column, first: int) -> Column:
-        inside = nr < first
-        return F.count_if(inside & hit) / F.greatest(F.count_if(inside), F.lit(1))
+    def share(hit: str, first: int, name: str) -> str:
+        inside = f"nr < {first}"
+        return f"count_if({inside} AND {hit}) / greatest(count_if({inside}), 1) AS {name}"
 
+    flags = ", ".join(f"'{text}'" for text in BOOLEANS)
     sampled = sample_cells(raw, max(dates, numbers, ints)).groupBy("column").agg(
-        share(_date(cell).isNotNull(), dates).alias("dates"),
-        share(trimmed.rlike(DECIMAL), numbers).alias("decimals"),
-        share(cell.rlike(NUMBER), ints).alias("numbers"),
-        share(trimmed.rlike(INTEGER), ints).alias("integers"),
-        share(cell.isin(*BOOLEANS), ints).alias("booleans"),
+        F.expr(share(f"{_date('cell')} IS NOT NULL", dates, "dates")),
+        F.expr(share(_matches("trim(cell)", DECIMAL), numbers, "decimals")),
+        F.expr(share(_matches("cell", NUMBER), ints, "numbers")),
+        F.expr(share(_matches("trim(cell)", INTEGER), ints, "integers")),
+        F.expr(share(f"cell IN ({flags})", ints, "booleans")),
     )
     return {row["column"]: row.asDict() for row in sampled.collect()}
 
@@ -202,26 +209,24 @@ def _candidates(share: dict, threshold: float) -> set[str]:
 
 def _column_stats(raw: DataFrame, may_be: dict[str, set[str]]) -> dict[str, dict]:
     """Counts over all rows, one pass, one row; only for kinds still possible."""
-    none = F.lit(0).cast("bigint")
-    cells = []
+    flags = ", ".join(f"'{text}'" for text in BOOLEANS)
+    structs = []
     for name in raw.columns:
-        cell, kinds = _cell(name), may_be[name]
-        number, boolean, date = ("number" in kinds, "bool" in kinds, "date" in kinds)
-        value = F.when(cell.rlike(NUMBER), F.trim(cell)).try_cast("double")
-        whole = F.trim(cell).rlike(INTEGER)
-        cells.append(
-            F.struct(
-                F.count(F.lit(1)).alias("rows"),
-                F.count(cell).alias("known"),
-                (F.count(value) if number else none).alias("numbers"),
-                (F.count_if(whole) if number else none).alias("wholes"),
-                (F.max(F.abs(value)) if number else F.lit(None).cast("double")).alias("largest"),
-                (F.count_if(cell.isin(*BOOLEANS)) if boolean else none).alias("booleans"),
-                (F.count(_date(cell)) if date else none).alias("dates"),
-                F.coalesce(F.max(F.length(cell)), F.lit(0)).alias("length"),
-            ).alias(name)
-        )
-    row = raw.agg(*cells).first()
+        cell, kinds = _quoted(name), may_be[name]
+        value = _number(cell, "double")
+        fields = {
+            "rows": "count(1)",
+            "known": f"count({cell})",
+            "length": f"coalesce(max(length({cell})), 0)",
+            "numbers": f"count({value})" if "number" in kinds else "0L",
+            "wholes": f"count_if({_matches(f'trim({cell})', INTEGER)})" if "number" in kinds else "0L",
+            "largest": f"max(abs({value}))" if "number" in kinds else "CAST(NULL AS DOUBLE)",
+            "booleans": f"count_if({cell} IN ({flags}))" if "bool" in kinds else "0L",
+            "dates": f"count({_date(cell)})" if "date" in kinds else "0L",
+        }
+        body = ", ".join(f"{sql} AS {field}" for field, sql in fields.items())
+        structs.append(F.expr(f"struct({body}) AS {cell}"))
+    row = raw.agg(*structs).first()
     return {name: row[name].asDict() for name in raw.columns}
 
 
@@ -241,7 +246,7 @@ def _decimal_type(largest: float) -> DataType:
 
 def choose_types(raw: DataFrame, rules: list[ColumnRule]) -> DataFrame:
     """The typed table."""
-    return raw.select(*[rule.typed() for rule in rules])
+    return raw.selectExpr(*[rule.typed() for rule in rules])
 
 
 def column_report(spark: SparkSession, rules: list[ColumnRule]) -> DataFrame:
