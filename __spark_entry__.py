@@ -16,7 +16,7 @@ from oracles import sql
 from shelfwise.functions.scalars import format_dollars, round_half_even
 from shelfwise.operators import aggregates, distributions, inference, metrics, profile, quantiles
 from shelfwise.plans import questions, summary
-from shelfwise.session import materialize, scratch_path
+from shelfwise.session import materialize, scratch_path, tune
 from shelfwise.sources import csv_import, tables
 from shelfwise.sources.retail_views import TABLES, LazyTables, read_base, retail_tables
 
@@ -32,7 +32,7 @@ def _sources(spark: SparkSession, folder: str) -> LazyTables:
     """The source tables of an input folder, as lazy plans."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _tables:
-        _tables[key] = retail_tables(spark, folder)
+        _tables[key] = retail_tables(tune(spark), folder)
     return _tables[key]
 
 
@@ -184,7 +184,7 @@ def _unit_price_box(rows: DataFrame) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the cleaned vendor summary, largest purchases first."""
-    built = summary.build_summary(retail_tables(spark, SMOKE_DIR))
+    built = summary.build_summary(retail_tables(tune(spark), SMOKE_DIR))
     return summary.order_by_purchases(built)
 
 

@@ -77,7 +77,8 @@ def format_dollars(value: Column | str) -> Column:
     # NaN sorts above every number in Spark, so it is kept out of the first branches.
     number = ~F.isnan(value)
     return (
-        F.when(number & (value >= 1_000_000), F.concat(two_places(value / 1_000_000), F.lit("M")))
+        F.when(value == float("inf"), F.lit("infM"))
+        .when(number & (value >= 1_000_000), F.concat(two_places(value / 1_000_000), F.lit("M")))
         .when(number & (value >= 1_000), F.concat(two_places(value / 1_000), F.lit("K")))
         .when(value.isNotNull(), plain_number(value))
     )

@@ -12,29 +12,39 @@ from pyspark.sql import DataFrame, SparkSession
 _local_dirs: dict[str, str] = {}
 
 
-def build_session(master: str | None = None, app_name: str = "shelfwise", **conf: str) -> SparkSession:
-    """A session with the adaptive settings the operators rely on.
+# Adaptive execution picks broadcast joins from measured shuffle sizes, merges
+# small shuffle partitions and splits skewed join partitions. The last setting
+# lets it split a join whose output feeds an aggregate on the same key, at the
+# price of one more shuffle in that case only.
+ADAPTIVE = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
 
-    Adaptive execution picks broadcast joins from measured shuffle sizes,
-    merges small shuffle partitions and splits skewed join partitions.
-    """
+
+def build_session(master: str | None = None, app_name: str = "shelfwise", **conf: str) -> SparkSession:
+    """A session with the settings the operators rely on."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    fixed = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        **conf,
     }
-    for key, value in settings.items():
+    for key, value in (ADAPTIVE | fixed | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Switch the adaptive settings on in a session built elsewhere."""
+    for key, value in ADAPTIVE.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables that every executor can reach.
 

@@ -1,0 +1,88 @@
+"""Shapes of the physical plans that decide how a query scales."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+from shelfwise.operators.aggregates import purchase_summary, sales_summary
+from shelfwise.plans.summary import build_summary
+from shelfwise.session import ADAPTIVE, scratch_path, shared_dir, tune
+from shelfwise.sources import retail_views as views
+from tests.conftest import SMALL
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_query_multiplies_tables(spark, name):
+    plan = plan_of(entry.queries()[name](spark, SMALL))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_summary_reads_only_needed_columns(tables):
+    plan = plan_of(build_summary(tables))
+    schemas = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan))
+    assert "l_partkey:bigint,l_quantity:double,l_linestatus:string" in schemas
+    assert not any("l_shipdate" in s or "l_comment" in s for s in schemas)
+    assert "EqualTo(l_linestatus,F)" in plan and "EqualTo(l_linestatus,O)" in plan
+
+
+def test_stored_summary_gets_filters_and_pruning(spark):
+    plan = plan_of(entry.queries()["top_vendors"](spark, SMALL))
+    assert "GreaterThan(GrossProfit,0.0)" in plan and "TakeOrderedAndProject" in plan
+    assert "FreightCost" not in plan
+
+
+@pytest.fixture
+def skewed(spark):
+    """A third of all order lines hold one brand; joins may not broadcast."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    old = {k: spark.conf.get(k, None) for k in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    frames = {
+        "lineitem": spark.range(200_000).selectExpr(
+            "id AS l_orderkey", "CASE WHEN id % 3 = 0 THEN 11 ELSE id % 1000 END AS l_partkey",
+            "CAST(1 + id % 50 AS DOUBLE) AS l_quantity", "0.05D AS l_discount", "0.02D AS l_tax",
+            "CASE WHEN id % 2 = 0 THEN 'F' ELSE 'O' END AS l_linestatus",
+        ),
+        "part": spark.range(1000).selectExpr(
+            "id AS p_partkey", "concat('n', id % 50) AS p_name", "'b' AS p_brand",
+            "CAST(1 + id % 50 AS INT) AS p_size", "CAST(900 + id AS DOUBLE) AS p_retailprice",
+        ),
+        "supplier": spark.range(10).selectExpr("id AS s_suppkey", "concat('S', id) AS s_name"),
+    }
+    yield views.LazyTables(frames.__getitem__)
+    for key, value in old.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_brand_is_split(skewed):
+    sold = sales_summary(views.sales(skewed))
+    total = sum(r.TotalSalesQuantity for r in sold.collect())
+    assert "SortMergeJoin(skew=true)" in plan_of(sold)
+    lines = skewed["lineitem"].where("l_linestatus = 'O' AND l_partkey % 23 <> 0")
+    assert total == lines.selectExpr("sum(l_quantity)").first()[0]
+    bought = purchase_summary(views.purchases(skewed), views.purchase_prices(skewed))
+    bought.collect()
+    assert "SortMergeJoin(skew=true)" in plan_of(bought)
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    tune(spark)
+    assert all(spark.conf.get(k) == v for k, v in ADAPTIVE.items())
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        assert "shelfwise-" in shared_dir(spark)
+    else:
+        assert shared_dir(spark).startswith(named)
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
