@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.joins import salted_join
 from shelfwise.operators.quantiles import long_values, quantiles_of_counts, value_counts_long
 from shelfwise.session import materialize
 
@@ -85,8 +86,12 @@ def kde(df: DataFrame, cols: Sequence[str], grid: int = 200, bins: int = 30) ->
     kernel = F.sum(F.col("rows") * F.exp(-z * z / 2))
     # density * n * bin width, with the 1/n of the density cancelled out
     scale = (F.col("hi") - F.col("lo")) / bins / (F.col("width") * F.sqrt(F.lit(2.0) * F.pi()))
+    # The grid multiplies the work, not the bytes, by which small partitions are
+    # merged: one partition per core keeps all cores busy.
+    cores = df.sparkSession.sparkContext.defaultParallelism
     sums = (
         value_counts_long(df, cols)
+        .repartition(cores)
         .join(F.broadcast(shape.select("column", "lo", "hi", "width")), "column")
         .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
         .withColumn("x", x)
@@ -104,10 +109,13 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Dat
     keys, names = [*by, "column"], ("q1", "median", "q3")
     quartiles = quantiles_of_counts(counts, (0.25, 0.5, 0.75), names, by).drop("n")
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    # Without groups there is one row per column. With groups their number is
-    # not bounded, so the join is left to the measured size.
     fences = quartiles.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach})
-    fenced = counts.join(fences if by else F.broadcast(fences), keys)
+    # Without groups there is one row per column. With groups their number has
+    # no bound and one may hold most values.
+    if by:
+        fenced = salted_join(counts, fences, keys, ["value"], "inner")
+    else:
+        fenced = counts.join(F.broadcast(fences), keys)
     inside = F.col("value").between(F.col("low"), F.col("high"))
     stats = fenced.groupBy(*keys, *names).agg(
         F.min(F.when(inside, F.col("value"))).alias("first"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+SALTS = 8
 
 
 def salted_join(
@@ -18,12 +18,14 @@ def salted_join(
     how: str = "left",
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join many ``left`` rows per key with a small ``right`` table.
+    """Join many ``left`` rows per key with an aggregated ``right`` table.
 
     Left rows of one key are spread over ``salts`` parts by a hash of
-    ``spread_by``; each right row is repeated once per part. For a right side
-    with one row per coarse key, such as one per vendor. When it turns out small
-    at run time, adaptive execution broadcasts it and the left side stays put.
+    ``spread_by``; each right row, one per key, is repeated once per part. The
+    salt also puts a shuffle of its own under both sides: without it, an
+    aggregate on the join key feeds the join directly, and adaptive execution
+    cannot split a partition that is still too large. A right side that turns
+    out small at run time is broadcast and the left side stays where it is.
     """
     keys = [on] if isinstance(on, str) else list(on)
     part = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")

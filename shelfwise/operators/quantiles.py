@@ -1,7 +1,7 @@
 """Exact quantiles of many columns at once.
 
 Rows shrink to counted values first, so a value that repeats often is one row.
-A rank is then found with a running count. While every column has at most
+A rank is then found with a running count. While all columns together have at most
 ``ONE_TASK_VALUES`` distinct values, that count runs over a column in one task.
 Beyond it the values are range-partitioned: row counts of the partitions give
 each its first rank, and only the partitions that hold a wanted rank are counted
@@ -98,8 +98,7 @@ def quantiles_of_counts(
 ) -> DataFrame:
     """Quantiles of written value counts: one row (by..., column, n, names...) per column."""
     keys = [*by, "column"]
-    largest = counts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= one_task_values:
+    if counts.count() <= one_task_values:  # read from the file footers
         ranked = _ranked(counts, keys)
     else:
         ranked = _ranked_near(counts, keys, ps)

@@ -38,14 +38,11 @@ def vendor_summary(
     purchase dollars; leave it off when the result is written or filtered.
     """
     bought = purchase_summary(purchases, prices, price_keys)
-    sold = bought.join(sales_summary(sales), ["VendorNumber", "Brand"], "left")
-    # A vendor may own a third of all rows: spread them over several tasks.
-    full = salted_join(
-        sold,
-        freight_summary(invoices),
-        "VendorNumber",
-        spread_by=("Brand", "Description", "PurchasePrice", "ActualPrice", "Volume"),
-    )
+    detail = ("VendorName", "Description", "PurchasePrice", "ActualPrice", "Volume")
+    # One vendor may own a third of all rows, and so may one of its brands: few
+    # rows per brand are usual, so the finer key gets fewer copies.
+    sold = salted_join(bought, sales_summary(sales), ["VendorNumber", "Brand"], detail, salts=2)
+    full = salted_join(sold, freight_summary(invoices), "VendorNumber", ("Brand", *detail))
     result = full.select(
         "VendorNumber",
         "VendorName",

@@ -22,6 +22,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITIONS_PER_CORE = 8
 
 
 def build_session(master: str | None = None, app_name: str = "shelfwise", **conf: str) -> SparkSession:
@@ -35,13 +37,22 @@ def build_session(master: str | None = None, app_name: str = "shelfwise", **conf
     }
     for key, value in (ADAPTIVE | fixed | conf).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Switch the adaptive settings on in a session built elsewhere."""
+    """Switch the adaptive settings on in a session built elsewhere.
+
+    On a cluster shuffles start with several partitions per core, so that each
+    stays small at any input size; adaptive execution merges those it does not
+    need. A number set by the user is kept.
+    """
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
+    cores = spark.sparkContext.defaultParallelism
+    if not spark.sparkContext.master.startswith("local") and not spark.conf.get(INITIAL, None):
+        usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(INITIAL, str(max(usual, PARTITIONS_PER_CORE * cores)))
     return spark
 
 
