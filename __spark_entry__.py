@@ -148,6 +148,16 @@ def _schema_profile(t: dict[str, DataFrame]) -> DataFrame:
     return profile.describe_schema(raw).join(profile.null_counts(raw), "column")
 
 
+def _catalog_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The source tables as catalog views: listed, then counted."""
+    prefix = "retail_"
+    for name in TABLES:
+        _sources(spark, folder)[name].createOrReplaceTempView(prefix + name)
+    listed = tables.list_tables(spark).where(F.col("table").startswith(prefix))
+    counts = profile.catalog_counts(spark, [row["table"] for row in listed.collect()])
+    return counts.withColumn("table", F.regexp_replace("table", f"^{prefix}", ""))
+
+
 def _key_audit(spark: SparkSession, folder: str) -> DataFrame:
     t = _sources(spark, folder)
     strict = summary.build_summary(t, ("VendorNumber", "Brand"))
@@ -216,6 +226,7 @@ def queries() -> dict[str, Query]:
     # profiling
     found |= {
         "table_counts": _on_tables(lambda t: profile.table_counts({n: t[n] for n in TABLES})),
+        "catalog_counts": _catalog_counts,
         "schema_profile": _on_tables(_schema_profile),
         "distinct_vendor_names": _on_tables(
             lambda t: profile.distinct_values(_raw_summary(t), "VendorName")

@@ -75,8 +75,16 @@ def _ratio(num: str, den: str) -> str:
     return f"CASE WHEN {den} <> 0 THEN {num} / {den} WHEN {num} <> 0 THEN 0.0 END"
 
 
-def _summary(prefix: str, price_join: str) -> str:
-    """Raw and cleaned summary as CTEs ``<prefix>raw`` and ``<prefix>summary``."""
+# The price rows a purchase meets: those of its brand, or of its vendor and brand.
+OFFERS = "(SELECT Brand, Price, Volume FROM purchase_prices) USING (Brand)"
+STRICT_OFFERS = "(SELECT VendorNumber, Brand, Price, Volume FROM purchase_prices) USING (VendorNumber, Brand)"
+
+
+def _summary(prefix: str, offers: str) -> str:
+    """Raw and cleaned summary as CTEs ``<prefix>raw`` and ``<prefix>summary``.
+
+    Sales and freight are looked up per row, so nothing is aggregated ahead.
+    """
     dbl = ", ".join(
         f"CAST({c} AS DOUBLE) AS {c}"
         for c in (
@@ -85,25 +93,21 @@ def _summary(prefix: str, price_join: str) -> str:
             "FreightCost",
         )
     )
+    sold = "FROM sales s WHERE s.VendorNo = bought.VendorNumber AND s.Brand = bought.Brand"
     return f"""
+{prefix}bought AS (
+  SELECT VendorNumber, VendorName, Brand, Description, Volume, PurchasePrice, Price AS ActualPrice,
+         SUM(Quantity) AS TotalPurchaseQuantity, SUM(Dollars) AS TotalPurchaseDollars
+  FROM purchases JOIN {offers}
+  WHERE PurchasePrice > 0 GROUP BY ALL),
 {prefix}raw AS (
-  WITH f AS (SELECT VendorNumber, SUM(Freight) AS FreightCost FROM vendor_invoice GROUP BY VendorNumber),
-  b AS (
-    SELECT p.VendorNumber, p.VendorName, p.Brand, p.Description, p.PurchasePrice,
-           pp.Price AS ActualPrice, pp.Volume,
-           SUM(p.Quantity) AS TotalPurchaseQuantity, SUM(p.Dollars) AS TotalPurchaseDollars
-    FROM purchases p JOIN purchase_prices pp ON {price_join}
-    WHERE p.PurchasePrice > 0 GROUP BY ALL),
-  s AS (
-    SELECT VendorNo, Brand, SUM(SalesQuantity) AS TotalSalesQuantity,
-           SUM(SalesDollars) AS TotalSalesDollars, SUM(SalesPrice) AS TotalSalesPrice,
-           SUM(ExciseTax) AS TotalExciseTax
-    FROM sales GROUP BY VendorNo, Brand),
-  j AS (
-    SELECT b.*, s.TotalSalesQuantity, s.TotalSalesDollars, s.TotalSalesPrice, s.TotalExciseTax, f.FreightCost
-    FROM b LEFT JOIN s ON b.VendorNumber = s.VendorNo AND b.Brand = s.Brand
-    LEFT JOIN f ON b.VendorNumber = f.VendorNumber)
-  SELECT VendorNumber, VendorName, Brand, Description, Volume, {dbl} FROM j),
+  SELECT VendorNumber, VendorName, Brand, Description, Volume, {dbl}
+  FROM (SELECT *, (SELECT SUM(SalesQuantity) {sold}) AS TotalSalesQuantity,
+               (SELECT SUM(SalesDollars) {sold}) AS TotalSalesDollars,
+               (SELECT SUM(SalesPrice) {sold}) AS TotalSalesPrice,
+               (SELECT SUM(ExciseTax) {sold}) AS TotalExciseTax,
+               (SELECT SUM(Freight) FROM vendor_invoice v WHERE v.VendorNumber = bought.VendorNumber) AS FreightCost
+        FROM {prefix}bought AS bought) AS looked_up),
 {prefix}filled AS (
   SELECT * REPLACE (trim(VendorName) AS VendorName, trim(Description) AS Description,
     coalesce(Volume, 0) AS Volume, coalesce(TotalSalesQuantity, 0) AS TotalSalesQuantity,
@@ -117,8 +121,8 @@ def _summary(prefix: str, price_join: str) -> str:
   FROM (SELECT *, TotalSalesDollars - TotalPurchaseDollars AS GrossProfit FROM {prefix}filled) t)"""
 
 
-SUMMARY = _summary("", "p.Brand = pp.Brand")
-STRICT = _summary("strict_", "p.Brand = pp.Brand AND p.VendorNumber = pp.VendorNumber")
+SUMMARY = _summary("", OFFERS)
+STRICT = _summary("strict_", STRICT_OFFERS)
 GOOD = """
 good AS (SELECT * FROM summary WHERE GrossProfit > 0 AND ProfitMargin > 0 AND TotalSalesQuantity > 0)"""
 BRANDS = """
@@ -331,6 +335,7 @@ UNION ALL SELECT 'vendor_invoice', 'loaded', count(*) FROM vendor_invoice"""
     sql["table_counts"] = src(
         " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in SOURCE_COLUMNS)
     )
+    sql["catalog_counts"] = sql["table_counts"]
     sql["schema_profile"] = summ(
         " UNION ALL ".join(
             f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS type, count(*) - count({c}) AS nulls FROM raw"
@@ -365,22 +370,20 @@ UNION ALL SELECT 'strict summary', count(*) FROM (SELECT 1 FROM strict_summary G
         "SELECT VendorNumber, CAST(SUM(Freight) AS DOUBLE) AS FreightCost FROM vendor_invoice GROUP BY VendorNumber"
     )
     totals = (
-        "CAST(SUM(p.Quantity) AS BIGINT) AS TotalPurchaseQuantity, "
-        "CAST(SUM(p.Dollars) AS DOUBLE) AS TotalPurchaseDollars"
+        "CAST(SUM(Quantity) AS BIGINT) AS TotalPurchaseQuantity, "
+        "CAST(SUM(Dollars) AS DOUBLE) AS TotalPurchaseDollars"
     )
-    bought = """SELECT p.VendorNumber, p.VendorName, p.Brand, p.Description, CAST(p.PurchasePrice AS DOUBLE) AS PurchasePrice,
-  CAST(pp.Price AS DOUBLE) AS ActualPrice, pp.Volume, {totals}
-FROM purchases p JOIN purchase_prices pp ON {on} WHERE p.PurchasePrice > 0
-GROUP BY p.VendorNumber, p.VendorName, p.Brand, p.Description, p.PurchasePrice, pp.Price, pp.Volume"""
-    sql["purchase_summary"] = src(bought.format(totals=totals, on="p.Brand = pp.Brand"))
-    sql["purchase_summary_strict"] = src(
-        bought.format(totals=totals, on="p.Brand = pp.Brand AND p.VendorNumber = pp.VendorNumber")
+    bought = (
+        "SELECT VendorNumber, VendorName, Brand, Description, PurchasePrice::DOUBLE AS PurchasePrice, "
+        f"Price::DOUBLE AS ActualPrice, Volume, {totals} "
+        "FROM purchases JOIN {offers} WHERE PurchasePrice > 0 GROUP BY ALL"
     )
+    sql["purchase_summary"] = src(bought.format(offers=OFFERS))
+    sql["purchase_summary_strict"] = src(bought.format(offers=STRICT_OFFERS))
     sql["purchase_summary_max"] = src(
-        f"""SELECT p.VendorNumber, p.VendorName, p.Brand, CAST(MAX(p.PurchasePrice) AS DOUBLE) AS PurchasePrice,
-  MAX(pp.Volume) AS Volume, CAST(MAX(pp.Price) AS DOUBLE) AS ActualPrice, {totals}
-FROM purchases p JOIN purchase_prices pp ON p.Brand = pp.Brand WHERE p.PurchasePrice > 0
-GROUP BY p.VendorNumber, p.VendorName, p.Brand"""
+        "SELECT VendorNumber, VendorName, Brand, MAX(PurchasePrice)::DOUBLE AS PurchasePrice, "
+        f"MAX(Volume) AS Volume, MAX(Price)::DOUBLE AS ActualPrice, {totals} "
+        f"FROM purchases JOIN {OFFERS} WHERE PurchasePrice > 0 GROUP BY ALL"
     )
     sql["sales_summary"] = src(
         """SELECT VendorNo AS VendorNumber, Brand, CAST(SUM(SalesQuantity) AS BIGINT) AS TotalSalesQuantity,
@@ -395,15 +398,19 @@ GROUP BY p.VendorNumber, p.VendorName, p.Brand"""
         """SELECT Brand, CAST(SUM(SalesDollars) AS DOUBLE) AS SalesDollars, CAST(SUM(SalesPrice) AS DOUBLE) AS SalesPrice,
   CAST(SUM(SalesQuantity) AS BIGINT) AS SalesQuantity FROM sales GROUP BY Brand"""
     )
+    sums = ", ".join(
+        f"SUM({column})::DOUBLE AS {name}"
+        for column, name in (
+            ("SalesQuantity", "TotalSalesQuantity"), ("SalesDollars", "TotalSalesDollars"),
+            ("SalesPrice", "TotalSalesPrice"), ("ExciseTax", "TotalExciseTax"),
+            ("Quantity", "TotalPurchaseQuantity"), ("Dollars", "TotalPurchaseDollars"),
+            ("Freight", "TotalFreightCost"),
+        )
+    )
     sql["fanout_summary"] = src(
-        """SELECT pp.VendorNumber, pp.Brand, CAST(pp.Price AS DOUBLE) AS ActualPrice, CAST(pp.PurchasePrice AS DOUBLE) AS PurchasePrice,
-  CAST(SUM(s.SalesQuantity) AS DOUBLE) AS TotalSalesQuantity, CAST(SUM(s.SalesDollars) AS DOUBLE) AS TotalSalesDollars,
-  CAST(SUM(s.SalesPrice) AS DOUBLE) AS TotalSalesPrice, CAST(SUM(s.ExciseTax) AS DOUBLE) AS TotalExciseTax,
-  CAST(SUM(vi.Quantity) AS DOUBLE) AS TotalPurchaseQuantity, CAST(SUM(vi.Dollars) AS DOUBLE) AS TotalPurchaseDollars,
-  CAST(SUM(vi.Freight) AS DOUBLE) AS TotalFreightCost
-FROM purchase_prices pp JOIN sales s ON pp.VendorNumber = s.VendorNo AND pp.Brand = s.Brand
-JOIN vendor_invoice vi ON pp.VendorNumber = vi.VendorNumber
-GROUP BY pp.VendorNumber, pp.Brand, pp.Price, pp.PurchasePrice"""
+        f"SELECT VendorNumber, Brand, Price::DOUBLE AS ActualPrice, PurchasePrice::DOUBLE AS PurchasePrice, {sums} "
+        "FROM purchase_prices JOIN (SELECT * RENAME (VendorNo AS VendorNumber) FROM sales) USING (VendorNumber, Brand) "
+        "JOIN (SELECT VendorNumber, Quantity, Dollars, Freight FROM vendor_invoice) USING (VendorNumber) GROUP BY ALL"
     )
     sql["vendor_summary"] = summ("SELECT * FROM raw")
     sql["clean_summary"] = summ(f"{clean} summary")

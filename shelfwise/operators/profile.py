@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
@@ -21,6 +21,11 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def catalog_counts(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """Row count of catalog tables and views, rows (table, rows)."""
+    return table_counts({name: spark.table(name) for name in names})
+
+
 def describe_schema(df: DataFrame) -> DataFrame:
     """Column names and types in order."""
     rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes, start=1)]

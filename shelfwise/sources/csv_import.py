@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
@@ -128,18 +128,29 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 def sample_cells(raw: DataFrame, rows: int) -> DataFrame:
     """The first ``rows`` known cells of each column, rows (column, nr, cell).
 
-    Reads the head of the file; a column that is sparse there is read on until
-    enough cells are found.
+    Most columns are served by the head of the file. Those that are sparse there
+    share one pass over the file, in which every task keeps its first cells only.
     """
     head = raw.take(rows)
     cells: list[tuple[str, int, str]] = []
+    sparse = []
     for i, name in enumerate(raw.columns):
         found = [row[i] for row in head if row[i] is not None]
         if len(found) < rows and len(head) == rows:
-            cell = _quoted(name)
-            found = [row[0] for row in raw.where(f"{cell} IS NOT NULL").select(cell).take(rows)]
-        cells += [(name, nr, text) for nr, text in enumerate(found)]
-    return raw.sparkSession.createDataFrame(cells, "column string, nr int, cell string")
+            sparse.append(name)
+        else:
+            cells += [(name, nr, text) for nr, text in enumerate(found)]
+    sample = raw.sparkSession.createDataFrame(cells, "column string, nr int, cell string")
+    return sample.unionByName(_first_cells(raw, sparse, rows)) if sparse else sample
+
+
+def _first_cells(raw: DataFrame, names: list[str], rows: int) -> DataFrame:
+    quoted = [_quoted(name) for name in names]
+    placed = raw.select(F.monotonically_increasing_id().alias("_place"), *quoted)
+    long = placed.unpivot(["_place"], quoted, "column", "cell").where("cell IS NOT NULL")
+    order = Window.partitionBy("column").orderBy("_place")
+    ranked = long.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows)
+    return ranked.select("column", (F.col("rank") - 1).cast("int").alias("nr"), "cell")
 
 
 def infer_rules(

@@ -103,14 +103,13 @@ def test_summary_equals_literal_sql(spark, small):
     for name, df in small.items():
         df.createOrReplaceTempView(f"t_{name}")
     literal = spark.sql("""
-        WITH b AS (SELECT p.VendorNumber, p.VendorName, p.Brand, p.Description, p.PurchasePrice, pp.Price ActualPrice,
-                     pp.Volume, sum(p.Quantity) q, sum(p.Dollars) d
-                   FROM t_purchases p JOIN t_purchase_prices pp ON p.Brand = pp.Brand WHERE p.PurchasePrice > 0
-                   GROUP BY ALL),
-        s AS (SELECT VendorNo, Brand, sum(SalesDollars) sold FROM t_sales GROUP BY ALL),
-        f AS (SELECT VendorNumber, sum(Freight) freight FROM t_vendor_invoice GROUP BY ALL)
-        SELECT b.VendorNumber, b.Brand, ActualPrice, q, d, sold, freight FROM b
-        LEFT JOIN s ON b.VendorNumber = s.VendorNo AND b.Brand = s.Brand LEFT JOIN f ON b.VendorNumber = f.VendorNumber
+        SELECT VendorNumber, Brand, Price, q, d,
+          (SELECT sum(SalesDollars) FROM t_sales s WHERE s.VendorNo = b.VendorNumber AND s.Brand = b.Brand) AS sold,
+          (SELECT sum(Freight) FROM t_vendor_invoice v WHERE v.VendorNumber = b.VendorNumber) AS freight
+        FROM (SELECT VendorNumber, VendorName, Brand, Description, PurchasePrice, Price, Volume,
+                sum(Quantity) AS q, sum(Dollars) AS d
+              FROM t_purchases JOIN (SELECT Brand, Price, Volume FROM t_purchase_prices) USING (Brand)
+              WHERE PurchasePrice > 0 GROUP BY ALL) AS b
     """)
     raw = vendor_summary(small["purchases"], small["purchase_prices"], small["sales"], small["vendor_invoice"])
     mine = raw.select("VendorNumber", "Brand", "ActualPrice", "TotalPurchaseQuantity", "TotalPurchaseDollars", "TotalSalesDollars", "FreightCost")
