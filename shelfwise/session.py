@@ -63,9 +63,10 @@ def shared_dir(spark: SparkSession) -> str:
     local session uses a temporary folder and any other session a folder in the
     warehouse, which is shared storage too.
     """
-    app = spark.sparkContext.applicationId
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None and spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    app = context.applicationId
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if base is None and context.master.startswith("local"):
         if app not in _local_dirs:
             _local_dirs[app] = tempfile.mkdtemp(prefix="shelfwise-")
             atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)

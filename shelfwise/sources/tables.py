@@ -37,9 +37,24 @@ def write_table(df: DataFrame, target: str) -> None:
         writer.saveAsTable(target)
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, **properties: str) -> None:
-    """Replace a database table through JDBC."""
-    df.write.mode("overwrite").jdbc(url, table, properties=properties)
+def scan_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    split_by: str,
+    bounds: tuple[int, int],
+    parts: int,
+    **properties: str,
+) -> DataFrame:
+    """All columns of a database table, read in ``parts`` ranges of a number column."""
+    low, high = bounds
+    return spark.read.jdbc(url, table, split_by, low, high, parts, properties=properties)
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 20_000, **properties: str) -> None:
+    """Replace a database table, inserting in batches from every partition."""
+    writer = df.write.mode("overwrite").option("batchsize", batch)
+    writer.jdbc(url, table, properties=properties)
 
 
 def read_target(spark: SparkSession, target: str) -> DataFrame:
