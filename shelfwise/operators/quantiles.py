@@ -11,10 +11,8 @@ through. No task then sees more than one range partition.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.session import materialize
@@ -38,23 +36,22 @@ def value_counts_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
     )
 
 
-def _position(p: float) -> Column:
-    return (F.col("n") - 1) * F.lit(float(p))
+def _position(p: float) -> str:
+    return f"((n - 1) * {float(p)!r}D)"
 
 
-def _holds(rank: Column) -> Column:
-    return (F.col("start") <= rank) & (rank < F.col("end"))
+def _holds(rank: str) -> str:
+    return f"(first_rank <= {rank} AND {rank} < next_rank)"
 
 
 def _ranked(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Every value with the ranks [start, end) it covers, one task per column."""
+    """Every value with the ranks [first_rank, next_rank) it covers, one task per column."""
     up_to = Window.partitionBy(*keys).orderBy("value")
-    return counts.withColumns(
-        {
-            "end": F.sum("rows").over(up_to),
-            "n": F.sum("rows").over(Window.partitionBy(*keys)),
-        }
-    ).withColumn("start", F.col("end") - F.col("rows"))
+    sums = {
+        "next_rank": F.sum("rows").over(up_to),
+        "n": F.sum("rows").over(Window.partitionBy(*keys)),
+    }
+    return counts.withColumns(sums).selectExpr("*", "next_rank - rows AS first_rank")
 
 
 def _ranked_near(counts: DataFrame, keys: list[str], ps: Sequence[float]) -> DataFrame:
@@ -64,29 +61,32 @@ def _ranked_near(counts: DataFrame, keys: list[str], ps: Sequence[float]) -> Dat
     ranged = materialize(ranges.withColumn("part", F.spark_partition_id()), "ranges")
     sizes = ranged.groupBy(*keys, "part").agg(F.sum("rows").alias("rows"))
     # One row per column and range partition goes through this count.
-    first = Window.partitionBy(*keys).orderBy("part")
-    parts = sizes.withColumns(
-        {"end": F.sum("rows").over(first), "n": F.sum("rows").over(Window.partitionBy(*keys))}
-    ).withColumn("start", F.col("end") - F.col("rows"))
-    wanted = [_holds(rank(_position(p))) for p in ps for rank in (F.floor, F.ceil)]
-    needed = parts.where(reduce(or_, wanted)).select(
-        *keys, "part", "n", F.col("start").alias("before")
-    )
+    up_to_part = Window.partitionBy(*keys).orderBy("part")
+    sums = {
+        "next_rank": F.sum("rows").over(up_to_part),
+        "n": F.sum("rows").over(Window.partitionBy(*keys)),
+    }
+    parts = sizes.withColumns(sums).selectExpr("*", "next_rank - rows AS first_rank")
+    wanted = [_holds(f"{end}({_position(p)})") for p in ps for end in ("floor", "ceil")]
+    needed = parts.where(" OR ".join(wanted)).selectExpr(*keys, "part", "n", "first_rank AS before")
     up_to = Window.partitionBy(*keys, "part").orderBy("value")
     return (
         ranged.join(needed, [*keys, "part"])
-        .withColumn("end", F.col("before") + F.sum("rows").over(up_to))
-        .withColumn("start", F.col("end") - F.col("rows"))
+        .withColumn("next_rank", F.col("before") + F.sum("rows").over(up_to))
+        .selectExpr("*", "next_rank - rows AS first_rank")
     )
 
 
-def _interpolated(p: float) -> Column:
+def _interpolated(p: float) -> str:
     """Linear interpolation from the nearer end, so both ends are hit exactly."""
     position = _position(p)
-    low = F.max(F.when(_holds(F.floor(position)), F.col("value")))
-    high = F.max(F.when(_holds(F.ceil(position)), F.col("value")))
-    part = F.max(position - F.floor(position))
-    return F.when(part < 0.5, low + (high - low) * part).otherwise(high - (high - low) * (1 - part))
+    low = f"max(CASE WHEN {_holds(f'floor({position})')} THEN value END)"
+    high = f"max(CASE WHEN {_holds(f'ceil({position})')} THEN value END)"
+    part = f"max({position} - floor({position}))"
+    return (
+        f"CASE WHEN {part} < 0.5D THEN {low} + ({high} - {low}) * {part} "
+        f"ELSE {high} - ({high} - {low}) * (1 - {part}) END"
+    )
 
 
 def quantiles_of_counts(
@@ -102,7 +102,7 @@ def quantiles_of_counts(
         ranked = _ranked(counts, keys)
     else:
         ranked = _ranked_near(counts, keys, ps)
-    cells = [_interpolated(p).alias(name) for p, name in zip(ps, names, strict=True)]
+    cells = [F.expr(f"{_interpolated(p)} AS {name}") for p, name in zip(ps, names, strict=True)]
     return ranked.groupBy(*keys).agg(F.max("n").alias("n"), *cells)
 
 
@@ -131,5 +131,6 @@ def quantiles(
     """Quantiles in long form, rows (by..., column, n, p, quantile)."""
     names = [f"q{i}" for i in range(len(ps))]
     wide = quantile_columns(df, cols, ps, names, by, exact)
-    pairs = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.col(n).alias("quantile")) for p, n in zip(ps, names, strict=True)])
-    return wide.select(*by, "column", "n", F.inline(pairs))
+    pairs = ", ".join(f"{float(p)!r}D, {name}" for p, name in zip(ps, names, strict=True))
+    stack = F.expr(f"stack({len(ps)}, {pairs}) AS (p, quantile)")
+    return wide.select(*by, "column", "n", stack)

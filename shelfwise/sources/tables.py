@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -62,9 +64,9 @@ def read_target(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target) if "/" in target else spark.table(target)
 
 
-def head(df: DataFrame, order: list, n: int = 5) -> DataFrame:
-    """First ``n`` rows in a stated order."""
-    return df.orderBy(*order).limit(n)
+def head(df: DataFrame, order: Sequence = (), n: int = 5) -> DataFrame:
+    """First ``n`` rows in a stated order, or any ``n`` rows for a quick look."""
+    return (df.orderBy(*order) if order else df).limit(n)
 
 
 def key_rows(df: DataFrame, value: int, key: str = "VendorNumber") -> DataFrame:

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from shelfwise.operators.aggregates import purchase_summary, sales_summary
@@ -60,6 +61,10 @@ def skewed(spark):
             "CAST(1 + id % 50 AS INT) AS p_size", "CAST(900 + id AS DOUBLE) AS p_retailprice",
         ),
         "supplier": spark.range(10).selectExpr("id AS s_suppkey", "concat('S', id) AS s_name"),
+        "orders": spark.range(50_000).selectExpr(
+            "id AS o_orderkey", "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 1000 END AS o_custkey",
+            "100.5D + id AS o_totalprice",
+        ),
     }
     yield views.LazyTables(frames.__getitem__)
     for key, value in old.items():
@@ -77,6 +82,23 @@ def test_hot_brand_is_split(skewed):
     assert "SortMergeJoin(skew=true)" in plan_of(bought)
 
 
+def test_hot_vendor_is_salted(skewed):
+    tables = {name: getattr(views, name)(skewed) for name in views.TABLES}
+    summary = build_summary(tables)
+    rows = summary.collect()
+    plan = plan_of(summary)
+    assert plan.count("_salt") > 0 and "SortMergeJoin(skew=true)" in plan
+    freight = {r[0]: r[1] for r in tables["vendor_invoice"].groupBy("VendorNumber").sum("Freight").collect()}
+    sold = {
+        (r.VendorNo, r.Brand): r.total
+        for r in tables["sales"].groupBy("VendorNo", "Brand").agg(F.sum("SalesDollars").alias("total")).collect()
+    }
+    assert len(rows) > 400 and any(r.Brand == 11 and r.TotalSalesDollars > 0 for r in rows)
+    for r in rows:
+        assert r.FreightCost == float(freight.get(r.VendorNumber, 0))
+        assert r.TotalSalesDollars == float(sold.get((r.VendorNumber, r.Brand), 0))
+
+
 def test_shared_folder_comes_from_the_session(spark):
     tune(spark)
     assert all(spark.conf.get(k) == v for k, v in ADAPTIVE.items())

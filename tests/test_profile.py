@@ -64,5 +64,6 @@ def test_replace_target(spark, df, tmp_path):
     sources.write_table(df, target)
     sources.write_table(df.limit(2), target)
     assert sources.read_target(spark, target).count() == 2
-    assert sources.head(df, ["id"], 2).count() == 2
+    assert [r.id for r in sources.head(df, ["id"], 2).collect()] == [None, 1]
+    assert sources.head(df, n=3).count() == 3
     assert sources.key_rows(df, 2, "id").count() == 2
