@@ -111,7 +111,12 @@ def _csv_invoices(spark: SparkSession, folder: str) -> DataFrame:
     _write_csv(orders, f"{path}/invoices.csv")
     csv_import.load_csv(spark, f"{path}/invoices.csv", f"{path}/invoices")
     loaded = _doubles(spark.read.parquet(f"{path}/invoices"))
-    return loaded.withColumn("PO_Number", F.col("PO_Number").cast("bigint"))
+    return loaded.withColumns(
+        {
+            "PO_Number": F.col("PO_Number").cast("bigint"),
+            "Invoice_Date": F.col("Invoice_Date").cast("date").cast("string"),
+        }
+    )
 
 
 def _csv_status(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,7 +125,7 @@ def _csv_status(spark: SparkSession, folder: str) -> DataFrame:
     for name in TABLES:
         _write_csv(_sources(spark, folder)[name], f"{path}/{name}.csv")
     report = csv_import.import_tables(spark, path, f"{path}/tables")
-    return report.select("table", "status", "rows")
+    return report.select("table", "status", "rows").fillna(0)
 
 
 def _sink(spark: SparkSession, folder: str) -> DataFrame:

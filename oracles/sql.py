@@ -316,13 +316,13 @@ def build() -> dict[str, str]:
         sql[f"vendor_rows_{name}"] = src(f"SELECT {cols} FROM {name} WHERE {vendor[name]} = 5")
     sql["csv_import_prices"] = sql["scan_purchase_prices"]
     sql["csv_import_invoices"] = (
-        "SELECT o_orderkey AS PO_Number, CAST(o_orderdate AS DATE) AS Invoice_Date, o_totalprice AS Total_Price, "
+        "SELECT o_orderkey AS PO_Number, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS Invoice_Date, o_totalprice AS Total_Price, "
         "CAST(o_custkey % 2 = 0 AS INT) AS Even, o_orderpriority AS Priority FROM orders"
     )
     sql["csv_import_status"] = src(
         """
-SELECT 'begin_inventory' AS "table", 'skipped' AS status, CAST(NULL AS BIGINT) AS rows
-UNION ALL SELECT 'end_inventory', 'skipped', NULL
+SELECT 'begin_inventory' AS "table", 'skipped' AS status, CAST(0 AS BIGINT) AS rows
+UNION ALL SELECT 'end_inventory', 'skipped', 0
 UNION ALL SELECT 'purchase_prices', 'loaded', count(*) FROM purchase_prices
 UNION ALL SELECT 'purchases', 'loaded', count(*) FROM purchases
 UNION ALL SELECT 'sales', 'loaded', count(*) FROM sales

@@ -1,9 +1,12 @@
 import math
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import (
@@ -105,6 +108,17 @@ def test_two_sided_p_values():
     assert near[0] == pytest.approx(near[1], rel=1e-7)
 
 
+def test_t_functions_need_no_package_on_executors(tmp_path):
+    dump = tmp_path / "f.pkl"
+    dump.write_bytes(cloudpickle.dumps((two_sided_p, critical_value)))
+    code = (
+        f"import pickle, numpy as np; p, c = pickle.load(open({str(dump)!r}, 'rb')); "
+        "print(round(p(np.array([2.0]), np.array([10.0]))[0], 6), round(c(np.array([0.95]), np.array([10.0]))[0], 6))"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert done.stdout.split() == ["0.073388", "2.228139"], done.stderr
+
+
 def test_t_functions_on_columns(spark):
     df = spark.createDataFrame([(2.0, 10.0), (None, 10.0), (2.0, 0.0)], "t double, df double")
     rows = df.select(t_two_sided_p(F.col("t"), F.col("df")).alias("p"), t_critical(0.95, F.col("df")).alias("c")).collect()

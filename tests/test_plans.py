@@ -17,12 +17,6 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_query_multiplies_tables(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SMALL))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-
-
 def test_summary_reads_only_needed_columns(tables):
     plan = plan_of(build_summary(tables))
     schemas = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan))
