@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.joins import salted_join
+
 PURCHASE_KEYS = ("VendorNumber", "VendorName", "Brand", "Description", "PurchasePrice")
 
 
@@ -69,7 +71,8 @@ def purchase_summary_max(
         F.max("Price").alias("ActualPrice"),
         F.count(F.lit(1)).alias("offers"),
     )
-    return lines.join(offers, list(price_keys)).select(
+    names = ("VendorNumber", "VendorName")
+    return salted_join(lines, offers, price_keys, names, "inner", salts=2).select(
         *keys,
         "PurchasePrice",
         "Volume",

@@ -116,13 +116,9 @@ def fanout_summary(prices: DataFrame, sales: DataFrame, invoices: DataFrame) ->
         F.sum("Freight").alias("freight"),
         F.count(F.lit(1)).alias("invoices"),
     )
-    joined = salted_join(
-        listed.join(sold, vendor_brand),
-        billed,
-        "VendorNumber",
-        spread_by=("Brand", "Price", "PurchasePrice"),
-        how="inner",
-    )
+    offer = ("Price", "PurchasePrice")
+    traded = salted_join(listed, sold, vendor_brand, offer, "inner", salts=2)
+    joined = salted_join(traded, billed, "VendorNumber", ("Brand", *offer), "inner")
 
     def times(total: str, other: str):
         # Wide decimals: the products outgrow 64 bits long before the sums do.
