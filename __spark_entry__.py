@@ -47,13 +47,15 @@ def _summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def _rounded(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Round means and ratios: their last bits depend on the order of the rows."""
-    return df.withColumns({c: round_half_even(F.col(f"`{c}`"), digits) for c in columns})
+    if not columns:
+        return df
+    return df.withColumns({c: round_half_even(f"`{c}`", digits) for c in columns})
 
 
 def _doubles(df: DataFrame) -> DataFrame:
     """Exact decimals as doubles."""
     wide = [c for c, kind in df.dtypes if kind.startswith("decimal")]
-    return df.withColumns({c: F.col(c).cast("double") for c in wide})
+    return df.withColumns({c: F.col(c).cast("double") for c in wide}) if wide else df
 
 
 RATIOS = ("ProfitMargin", "StockTurnover", "SalesPurchaseRatio")

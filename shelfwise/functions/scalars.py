@@ -1,4 +1,8 @@
-"""Scalar column functions: division, trimming, rounding, exact sums, money text."""
+"""Scalar column functions: division, trimming, rounding, exact sums, money text.
+
+Arguments are column names or SQL expressions; the result is one built-in
+expression, evaluated inside the JVM.
+"""
 
 from __future__ import annotations
 
@@ -13,72 +17,68 @@ MONEY = "decimal(28,4)"
 STRIP_PATTERN = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
-def _column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+def _double(value: str) -> str:
+    return f"CAST(({value}) AS DOUBLE)"
 
 
-def float_div(num: Column | str, den: Column | str) -> Column:
+def float_div(num: str, den: str) -> Column:
     """Floating division: x/0 is a signed infinity, 0/0 is null."""
-    num, den = _column(num).cast("double"), _column(den).cast("double")
-    return (
-        F.when(den != 0, num / den)
-        .when(num > 0, F.lit(float("inf")))
-        .when(num < 0, F.lit(float("-inf")))
+    num, den = _double(num), _double(den)
+    return F.expr(
+        f"CASE WHEN {den} <> 0 THEN {num} / {den} WHEN {num} > 0 THEN DOUBLE('inf') "
+        f"WHEN {num} < 0 THEN DOUBLE('-inf') END"
     )
 
 
-def safe_div(num: Column | str, den: Column | str) -> Column:
+def safe_div(num: str, den: str) -> Column:
     """Floating division with x/0 taken as 0; 0/0 is null."""
-    num, den = _column(num).cast("double"), _column(den).cast("double")
-    return F.when(den != 0, num / den).when(num != 0, F.lit(0.0))
+    num, den = _double(num), _double(den)
+    return F.expr(f"CASE WHEN {den} <> 0 THEN {num} / {den} WHEN {num} <> 0 THEN 0D END")
 
 
-def strip_ws(value: Column | str) -> Column:
+def strip_ws(value: str) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(_column(value), STRIP_PATTERN, "")
+    return F.regexp_replace(value, STRIP_PATTERN, "")
 
 
-def round_half_even(value: Column | str, digits: int = 2) -> Column:
+def round_half_even(value: str, digits: int = 2) -> Column:
     """Round as array libraries do: scale, round to even, scale back."""
-    scale = float(10**digits)
-    return F.rint(_column(value).cast("double") * scale) / scale
+    scale = f"{10**digits}D"
+    return F.expr(f"rint({_double(value)} * {scale}) / {scale}")
 
 
-def exact_sum(value: Column | str) -> Column:
+def exact_sum(value: str) -> Column:
     """Sum of money or counts that does not depend on row order; empty is 0."""
-    total = F.sum(_column(value).cast(MONEY))
-    return F.coalesce(total.cast("double"), F.lit(0.0))
+    return F.expr(f"coalesce(CAST(sum(CAST(({value}) AS {MONEY})) AS DOUBLE), 0D)")
 
 
-def plain_number(value: Column | str) -> Column:
-    """Shortest text of a double: fixed notation from 1e-4 up to 1e16."""
-    value = _column(value).cast("double")
-    text = value.cast("string")
-    size = F.abs(value)
-    fixed = F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), r"0+$", "")
-    fixed = F.regexp_replace(fixed, r"\.$", ".0")
-    exponent = F.regexp_replace(text, r"\.0E", "E")
-    exponent = F.regexp_replace(exponent, r"E(\d)", "e+$1")
-    exponent = F.regexp_replace(exponent, r"E-", "e-")
-    exponent = F.regexp_replace(exponent, r"e([+-])(\d)$", "e$10$2")
+def _plain(value: str) -> str:
+    number, text = _double(value), f"CAST({_double(value)} AS STRING)"
+    digits = f"CAST(try_cast({text} AS DECIMAL(38,20)) AS STRING)"
+    fixed = rf"regexp_replace(regexp_replace({digits}, '0+$', ''), r'\.$', '.0')"
+    # 1.0E16 -> 1e+16, 1.0E-5 -> 1e-05
+    power = rf"regexp_replace(regexp_replace({text}, r'\.0E', 'E'), r'E(\d)', 'e+$1')"
+    power = rf"regexp_replace(replace({power}, 'E-', 'e-'), r'e([+-])(\d)$', 'e$10$2')"
     return (
-        F.when(F.isnan(value), F.lit("nan"))
-        .when(size == float("inf"), F.when(value > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when((size >= 1e-3) & (size < 1e7) | (size == 0), text)
-        .when((size >= 1e-4) & (size < 1e16), fixed)
-        .otherwise(exponent)
+        f"CASE WHEN isnan({number}) THEN 'nan' "
+        f"WHEN {number} = DOUBLE('inf') THEN 'inf' WHEN {number} = DOUBLE('-inf') THEN '-inf' "
+        f"WHEN {number} = 0 OR abs({number}) >= 1e-3 AND abs({number}) < 1e7 THEN {text} "
+        f"WHEN abs({number}) >= 1e-4 AND abs({number}) < 1e16 THEN {fixed} ELSE {power} END"
     )
 
 
-def format_dollars(value: Column | str) -> Column:
+def plain_number(value: str) -> Column:
+    """Shortest text of a double: fixed notation from 1e-4 up to 1e16."""
+    return F.expr(_plain(value))
+
+
+def format_dollars(value: str) -> Column:
     """``1.29M`` from a million, ``1.29K`` from a thousand, else the plain number."""
-    value = _column(value).cast("double")
-    two_places = lambda scaled: F.call_function("format_number", scaled, F.lit("0.00"))
+    number = _double(value)
     # NaN sorts above every number in Spark, so it is kept out of the first branches.
-    number = ~F.isnan(value)
-    return (
-        F.when(value == float("inf"), F.lit("infM"))
-        .when(number & (value >= 1_000_000), F.concat(two_places(value / 1_000_000), F.lit("M")))
-        .when(number & (value >= 1_000), F.concat(two_places(value / 1_000), F.lit("K")))
-        .when(value.isNotNull(), plain_number(value))
+    return F.expr(
+        f"CASE WHEN isnan({number}) THEN 'nan' WHEN {number} = DOUBLE('inf') THEN 'infM' "
+        f"WHEN {number} >= 1000000 THEN concat(format_number({number} / 1000000, '0.00'), 'M') "
+        f"WHEN {number} >= 1000 THEN concat(format_number({number} / 1000, '0.00'), 'K') "
+        f"WHEN {number} IS NOT NULL THEN {_plain(value)} END"
     )

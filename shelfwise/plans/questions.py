@@ -111,13 +111,14 @@ def vendor_performance(rows: DataFrame, by: str = "VendorName") -> DataFrame:
 
 def _shares(rows: DataFrame, by: str) -> DataFrame:
     total = rows.where(F.col(by).isNotNull()).agg(exact_sum("TotalPurchaseDollars").alias("t"))
-    share = float_div(F.col("TotalPurchaseDollars"), total.scalar()) * 100
-    return vendor_performance(rows, by).withColumn(SHARE, share)
+    groups = vendor_performance(rows, by).withColumn("all_purchases", total.scalar())
+    share = float_div("TotalPurchaseDollars", "all_purchases") * 100
+    return groups.withColumn(SHARE, share).drop("all_purchases")
 
 
 def _rounded(shares: DataFrame, by: str) -> DataFrame:
     measures = ("TotalPurchaseDollars", "GrossProfit", "TotalSalesDollars", SHARE)
-    return shares.select(by, *[round_half_even(F.col(f"`{c}`")).alias(c) for c in measures])
+    return shares.select(by, *[round_half_even(f"`{c}`").alias(c) for c in measures])
 
 
 def _by_share(by: str) -> list:
@@ -142,7 +143,7 @@ def _leaders(rows: DataFrame, k: int) -> DataFrame:
         "Position",
         "VendorName",
         *[
-            round_half_even(F.col(f"`{c}`")).alias(c)
+            round_half_even(f"`{c}`").alias(c)
             for c in ("TotalPurchaseDollars", "GrossProfit", "TotalSalesDollars", SHARE)
         ],
     )
@@ -160,8 +161,8 @@ def pareto(rows: DataFrame, k: int = 10) -> DataFrame:
 
 def contribution_total(rows: DataFrame, k: int = 10) -> DataFrame:
     """Sum of the rounded shares of the leading vendors, one row."""
-    total = F.sum(f"`{SHARE}`")
-    return _leaders(rows, k).agg(round_half_even(total).alias("TopContribution%"))
+    total = round_half_even(f"sum(`{SHARE}`)")
+    return _leaders(rows, k).agg(total.alias("TopContribution%"))
 
 
 def contribution_with_other(rows: DataFrame, k: int = 10) -> DataFrame:
