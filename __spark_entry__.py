@@ -20,6 +20,11 @@ from shelfwise.session import materialize, scratch_path, tune
 from shelfwise.sources import csv_import, tables
 from shelfwise.sources.retail_views import TABLES, LazyTables, read_base, retail_tables
 
+try:  # the subpackage may be absent
+    from shelfwise.llm import queries as llm_queries
+except ImportError:
+    llm_queries = None
+
 VENDOR = 5
 SMOKE_DIR = "/root/testdata/sf0.001"
 _stored: dict[tuple[str, str], DataFrame] = {}
@@ -332,9 +337,11 @@ def queries() -> dict[str, Query]:
         ),
         "welch_test": _on_good(inference.welch_test, welch),
     }
+    if llm_queries:
+        found |= llm_queries.queries()
     return found
 
 
 def oracle_sql() -> dict[str, str]:
     """The SQL twin of each query for DuckDB on the same tables."""
-    return sql.build()
+    return sql.build() | (llm_queries.oracle_sql() if llm_queries else {})
