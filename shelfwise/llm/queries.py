@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import byte_bpe, decontamination, sharding, token_files
+from shelfwise.llm import byte_bpe, decontamination, near_duplicates, sharding, token_files, toxicity
 from shelfwise.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _op1(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.classes(read_table(spark, folder, "documents"))
+
+
 def _op2(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, folder, "documents"), 40)
 
@@ -25,6 +29,10 @@ def _op5(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.digest(decontamination.contamination(read_table(spark, folder, "documents"), benchmark))
 
 
+def _op6(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 def _op10(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(read_table(spark, folder, "documents"))
 
@@ -32,9 +40,11 @@ def _op10(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     """One query for each operator."""
     return {
+        "op1_near_duplicates": _op1,
         "op2_sharding": _op2,
         "op4_byte_bpe": _op4,
         "op5_decontamination": _op5,
+        "op6_toxicity": _op6,
         "op10_token_files": _op10,
     }
 
