@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import byte_bpe, decontamination, near_duplicates, sharding, token_files, toxicity
+from shelfwise.llm import (
+    byte_bpe,
+    decontamination,
+    line_quality,
+    near_duplicates,
+    pii,
+    secret_scan,
+    sharding,
+    token_files,
+    toxicity,
+    warc,
+)
 from shelfwise.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +31,10 @@ def _op2(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, folder, "documents"), 40)
 
 
+def _op3(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(read_table(spark, folder, "documents"))
+
+
 def _op4(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(read_table(spark, folder, "documents"))
 
@@ -33,6 +48,18 @@ def _op6(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+def _op7(spark: SparkSession, folder: str) -> DataFrame:
+    return line_quality.quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+def _op8(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secrets(read_table(spark, folder, "documents"))
+
+
+def _op9(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.describe(warc.derivatives(warc.responses(read_table(spark, folder, "pages"))))
+
+
 def _op10(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(read_table(spark, folder, "documents"))
 
@@ -42,9 +69,13 @@ def queries() -> dict[str, Query]:
     return {
         "op1_near_duplicates": _op1,
         "op2_sharding": _op2,
+        "op3_personal_data": _op3,
         "op4_byte_bpe": _op4,
         "op5_decontamination": _op5,
         "op6_toxicity": _op6,
+        "op7_line_quality": _op7,
+        "op8_secret_scan": _op8,
+        "op9_warc_derivatives": _op9,
         "op10_token_files": _op10,
     }
 
