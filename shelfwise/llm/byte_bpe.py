@@ -17,6 +17,7 @@ from array import array
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -239,3 +240,20 @@ def round_trip(df: DataFrame, key: str = "doc_id", text: str = "text", rank_file
     found = map_text(docs, run, "id string, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     key_column: Column = F.col("id").cast(df.schema[key].dataType).alias(key)
     return found.select(key_column, "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def tokenized(df: DataFrame, key: str = "doc_id", text: str = "text", rank_file: str = RANK_FILE) -> DataFrame:
+    """Rows (key, n_tokens, ids, decoded_sha256): the ids as a list, and the hash of what they decode to."""
+    sent = _send(df, rank_file)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        codec = sent.made(build_codec)
+        for batch in batches:
+            found = [codec.encode(t) for t in batch.column(1).to_pylist()]
+            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), "<i4")))
+            yield [batch.column(0), np.diff(offsets).tolist(), ids, [sha_hex(codec.decode(x)) for x in found]]
+
+    docs = df.select(F.col(f"`{key}`").cast("string"), *string_type(df, [text]))
+    found = map_text(docs, run, "id string, n_tokens bigint, ids array<int>, decoded_sha256 string")
+    return found.select(F.col("id").cast(df.schema[key].dataType).alias(key), "n_tokens", "ids", "decoded_sha256")

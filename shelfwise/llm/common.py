@@ -16,7 +16,7 @@ from shelfwise.session import materialize, scratch_path, tune
 #: Rows of an Arrow batch. Texts may be long, so batches hold few of them.
 BATCH_ROWS = 400
 
-__all__ = ["Sent", "materialize", "scratch_path", "map_text", "prepare", "read_table", "sha_hex", "string_type"]
+__all__ = ["Sent", "labelled_sample", "materialize", "scratch_path", "map_text", "prepare", "read_table", "sha_hex", "string_type"]
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -61,6 +61,18 @@ def map_text(
     return df.mapInArrow(run, kinds)
 
 
+def labelled_sample(df: DataFrame, labels: DataFrame, key: str, text: str, rows: int) -> DataFrame:
+    """Rows (label, text) of at most ``rows`` labelled keys, the first by a hash of the key.
+
+    ``labels`` has id and label (0 or 1; others are ignored, of several the larger
+    counts). The broadcast side is bounded by ``rows``.
+    """
+    usable = labels.where(F.col("id").isNotNull() & F.col("label").isin(0, 1)).groupBy("id")
+    sample = usable.agg(F.max("label").cast("int").alias("label")).orderBy(F.xxhash64("id"), "id").limit(rows)
+    docs = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    return docs.join(F.broadcast(sample), "id").select("label", "text")
+
+
 def sha_hex(data: bytes) -> str:
     """Lowercase hexadecimal SHA-256."""
     return hashlib.sha256(data).hexdigest()

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import Sent, map_text, materialize, prepare, string_type
+from shelfwise.llm.common import Sent, labelled_sample, map_text, materialize, prepare, string_type
 
 #: Labelled documents that the field is fitted on, at most, and lines of one training chain.
 SAMPLE_ROWS, CHAIN_LINES = 2_000, 40
@@ -163,13 +163,8 @@ class LineField:
 
 def fit_field(df: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> LineField:
     """The field fitted on labelled documents: those first in the order of a hash of the key."""
-    usable = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(f"`{key}`").alias("id"))
-    sample = (
-        usable.agg(F.max(label).cast("int").alias("label")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
-    )
-    chosen = df.join(F.broadcast(sample), F.col(f"`{key}`") == F.col("id")).select(
-        "label", F.col(f"`{text}`").cast("string").alias("text")
-    )
+    known = labels.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").alias("label"))
+    chosen = labelled_sample(df, known, key, text, SAMPLE_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in batches:

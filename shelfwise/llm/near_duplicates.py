@@ -322,7 +322,6 @@ def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", **pa
 
     Of rows with the same key one stays. Rows with a null key stay.
     """
-    kept = classes(df, key, text, **params).select(F.col("class_id").alias("_class")).distinct()
-    named = df.where(F.col(f"`{key}`").isNotNull())
-    chosen = named.join(kept, F.col(f"`{key}`") == F.col("_class"), "left_semi").dropDuplicates([key])
+    kept = classes(df, key, text, **params).select(F.col("class_id").alias(key)).distinct()
+    chosen = df.join(kept, key, "left_semi").dropDuplicates([key])
     return chosen.unionByName(df.where(F.col(f"`{key}`").isNull()))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import Sent, map_text, materialize, prepare, string_type
+from shelfwise.llm.common import Sent, labelled_sample, map_text, materialize, prepare, string_type
 from shelfwise.llm.deobfuscation import LETTERS, LOOK_ALIKE, MASKS, CharModel, restore, word_grams
 from shelfwise.llm.shingles import mix
 
@@ -194,15 +194,8 @@ def _as_is(value):
 def fit(df: DataFrame, labels: DataFrame, model: Sent, key: str, text: str, label: str) -> tuple[np.ndarray, np.ndarray, float]:
     """Chosen features, their weights and the bias, from labelled rows that are not held out."""
     spark = df.sparkSession
-    usable = labels.where(~held_out(key) & F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(f"`{key}`").alias("id"))
-    sample = (
-        usable.agg(F.max(label).cast("int").alias("label"))
-        .orderBy(F.xxhash64("id"), "id")
-        .limit(SAMPLE_ROWS)
-    )
-    chosen = df.join(F.broadcast(sample), F.col(f"`{key}`") == F.col("id")).select(
-        F.col("label"), F.col(f"`{text}`").cast("string").alias("text")
-    )
+    known = labels.where(~held_out(key)).select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").alias("label"))
+    chosen = labelled_sample(df, known, key, text, SAMPLE_ROWS)
     features = _features(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
