@@ -21,9 +21,10 @@ from shelfwise.sources import csv_import, tables
 from shelfwise.sources.retail_views import TABLES, LazyTables, read_base, retail_tables
 
 try:  # the subpackage may be absent
+    import corpus_pipeline
     from shelfwise.llm import queries as llm_queries
 except ImportError:
-    llm_queries = None
+    corpus_pipeline = llm_queries = None
 
 VENDOR = 5
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -338,10 +339,15 @@ def queries() -> dict[str, Query]:
         "welch_test": _on_good(inference.welch_test, welch),
     }
     if llm_queries:
-        found |= llm_queries.queries()
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
     return found
 
 
 def oracle_sql() -> dict[str, str]:
     """The SQL twin of each query for DuckDB on the same tables."""
-    return sql.build() | (llm_queries.oracle_sql() if llm_queries else {})
+    found = sql.build()
+    if llm_queries:
+        found |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
