@@ -88,26 +88,44 @@ class Segments:
             touched[first : to + 1] = True
         return np.flatnonzero(touched[:-1] & (self.groups > 1))
 
+    def _reachable(self, capacity: int, least: int, shards: int) -> list[np.ndarray]:
+        """For each number of shards: positions that so many shards of these sizes end at."""
+        n = len(self)
+        first = np.searchsorted(self.ends, self.ends - capacity, "left")
+        last = np.searchsorted(self.ends, self.ends - least, "right")
+        found = [np.zeros(n + 1, bool)]
+        found[0][0] = True
+        for _ in range(shards):
+            count = np.concatenate([[0], np.cumsum(found[-1])])
+            found.append(count[np.minimum(last, np.arange(n + 1) + 1)] > count[np.minimum(first, n)])
+        return found
+
     def balanced_cuts(self, shards: int) -> list[int]:
-        """Cuts at the best capacity, each as near to an even share of the rest as allowed.
+        """Cuts at the best capacity with the smallest shard as large as can be.
 
-        A cut may not lie so early that the rest no longer fits the shards left,
-        nor so late that its own shard is over capacity. Without this, one huge
-        group would let the greedy pass fill few shards and leave others empty.
+        Without the second goal, one huge group would let the greedy pass fill few
+        shards and leave others empty. The least size is found by binary search to
+        a thousandth of the mean.
         """
         capacity = self.least_capacity(shards, False)
-        back = [len(self)]
-        for _ in range(shards - 1):
-            back.append(int(np.searchsorted(self.ends, self.ends[back[-1]] - capacity, "left")))
-        cuts, at = [], 0
-        for left in range(shards, 1, -1):
-            share = self.ends[at] + (self.total - self.ends[at]) / left
-            near = int(np.searchsorted(self.ends, share))
-            if near and share - self.ends[near - 1] <= self.ends[min(near, len(self))] - share:
-                near -= 1
-            at = min(max(near, back[left - 1], at), self.reach(at, capacity))
+        low, high, step = 0, self.total // shards, max(1, self.total // shards // 1000)
+        best = self._reachable(capacity, 0, shards)
+        while high - low > step:
+            middle = (low + high + 1) // 2
+            found = self._reachable(capacity, middle, shards)
+            if found[-1][-1]:
+                low, best = middle, found
+            else:
+                high = middle
+        cuts, at = [], len(self)
+        for k in range(shards - 1, 0, -1):
+            a = int(np.searchsorted(self.ends, self.ends[at] - capacity, "left"))
+            b = min(int(np.searchsorted(self.ends, self.ends[at] - low, "right")), at + 1)
+            options = a + np.flatnonzero(best[k][a:b])
+            # of the allowed places the one nearest to an even share of what is left
+            at = int(options[np.abs(self.ends[options] - self.ends[at] * k / (k + 1)).argmin()])
             cuts.append(at)
-        return cuts
+        return cuts[::-1]
 
 
 def _ordered_hash(text: Column) -> Column:
