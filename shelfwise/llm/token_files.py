@@ -8,7 +8,9 @@ stripes that the statistics and filters leave.
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ from shelfwise.llm.pieces import is_plain, plain_splitter
 TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 #: Pieces whose ids a task keeps, and the longest piece worth keeping.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 300_000
 KEPT_CHARS = 64
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -46,6 +48,7 @@ class PieceTokenizer:
     """
 
     def __init__(self, json_text: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task on a core
         self.tokenizer = Tokenizer.from_str(json_text)
         self.tokenizer.encode_special_tokens = True
         self.split = regex.compile(public_tokenizers.PATTERN).findall
@@ -67,7 +70,7 @@ class PieceTokenizer:
                 new = {p for pieces in split for p in pieces}
             order = list(new)
             for piece, found in zip(order, self.tokenizer.encode_batch_fast(order, add_special_tokens=False)):
-                once[piece] = np.array(found.ids, "<u4").tobytes()
+                once[piece] = array("I", found.ids).tobytes()
         out = [b"".join(map(once.__getitem__, pieces)) for pieces in split]
         for piece in new:
             if len(piece) > KEPT_CHARS:
