@@ -2,7 +2,8 @@
 
 The cleaned vendor summary is built once per session and input folder and
 written to the shared folder, as the analytics expect it as a stored table; the
-questions and statistics scan that table.
+questions and statistics scan that table. If the input changes within a session,
+the stored summary is stale: start a new session.
 """
 
 from __future__ import annotations
@@ -128,14 +129,32 @@ def _csv_invoices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _csv_status(spark: SparkSession, folder: str) -> DataFrame:
-    """All source tables as CSV files, imported as a set; two files are missing."""
+    """All source tables as CSV files, imported as a set; one more is malformed, one is missing."""
     path = scratch_path(spark, "csv")
     for name in TABLES:
         _write_csv(_sources(spark, folder)[name], f"{path}/{name}.csv")
+    # a comma that is not quoted gives its rows a cell more than the header
+    extra = F.concat_ws(",", "VendorNumber", "Freight").alias("freight")
+    unquoted = _sources(spark, folder)["vendor_invoice"].select("PONumber", extra).write.option("header", True)
+    unquoted.option("quote", "\u0000").csv(f"{path}/begin_inventory.csv")
     report = csv_import.import_tables(spark, path, f"{path}/tables")
     return report.select("table", "status", "rows").fillna(0)
 
 
+def _csv_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Types, widths and lost cells of a file with a wide key, long texts, dates and odd cells."""
+    path = scratch_path(spark, "csv")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
+    orders = read_base(spark, folder)["orders"].select(
+        (F.col("o_orderkey") + 3_000_000_000).alias("Key"),
+        F.expr("repeat(o_orderpriority, 80)").alias("Note"),
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("Day"),
+        F.when(F.col("o_custkey") % 7 == 0, "Unknown").otherwise(cents).alias("Cents"),
+    )
+    _write_csv(orders, f"{path}/orders.csv")
+    return csv_import.column_report(spark, csv_import.load_csv(spark, f"{path}/orders.csv", f"{path}/orders"))
+
+
 def _sink(spark: SparkSession, folder: str) -> DataFrame:
     """The summary written twice over the same target and read back."""
     target = scratch_path(spark, "sink")
@@ -146,9 +165,10 @@ def _sink(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ensured(spark: SparkSession, folder: str) -> DataFrame:
-    """A typed empty table, created once, then filled from the summary."""
+    """A typed empty table, created once, then filled from the summary; a table of an earlier run is replaced."""
     target = scratch_path(spark, "ensured")
-    name = f"summary_{target[-32:]}"
+    name = "shelfwise_ensured"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     stored = _summary(spark, folder)
     tables.ensure_table(spark, name, stored.schema, target)
     empty = tables.ensure_table(spark, name, stored.schema, target)
@@ -200,6 +220,11 @@ def _money_text(rows: DataFrame) -> DataFrame:
     return rows.select("VendorNumber", "Brand", "ActualPrice", "Volume", *texts)
 
 
+def _margins(rows: DataFrame) -> DataFrame:
+    """Margins of the top and of the low sellers."""
+    return inference.cohorts(rows).withColumnRenamed("value", "ProfitMargin")
+
+
 def _unit_price_box(rows: DataFrame) -> DataFrame:
     sized = metrics.with_order_size(metrics.with_unit_price(rows))
     return distributions.box_stats(sized, ["UnitPurchasePrice"], ["OrderSize"])
@@ -232,6 +257,7 @@ def queries() -> dict[str, Query]:
         "csv_import_prices": _csv_prices,
         "csv_import_invoices": _csv_invoices,
         "csv_import_status": _csv_status,
+        "csv_column_report": _csv_report,
         "summary_sink": _sink,
         "ensure_table": _ensured,
     }
@@ -327,7 +353,14 @@ def queries() -> dict[str, Query]:
         "histogram_profitable": _on_good(
             lambda p: distributions.histogram(p, numeric(p)), ["left", "right"]
         ),
+        "density_summary": _on_summary(lambda s: distributions.kde(s, numeric(s)), ["x", "y"]),
         "density_curves": _on_good(lambda p: distributions.kde(p, numeric(p)), ["x", "y"]),
+        "histogram_cohorts": _on_good(
+            lambda p: distributions.histogram(_margins(p), ["ProfitMargin"], by=["cohort"]), ["left", "right"]
+        ),
+        "density_cohorts": _on_good(
+            lambda p: distributions.kde(_margins(p), ["ProfitMargin"], by=["cohort"]), ["x", "y"]
+        ),
         "box_summary": _on_summary(lambda s: distributions.box_stats(s, numeric(s)), box),
         "box_unit_price": _on_good(_unit_price_box, box),
         "correlation_matrix": _on_good(lambda p: inference.correlation_matrix(p, numeric(p)), ["r"]),

@@ -200,20 +200,34 @@ def _edge(i: str) -> str:
     return _EDGE.format(i=i)
 
 
-HISTOGRAM = f"""
-bounds AS (SELECT "column", CASE WHEN min(value) = max(value) THEN min(value) - 0.5 ELSE min(value) END AS lo,
+def _histogram(keys: str = '"column"') -> tuple[str, str]:
+    """The query, and the tables it reads, of a histogram of ``long`` by keys."""
+    tables = f"""
+bounds AS (SELECT {keys}, CASE WHEN min(value) = max(value) THEN min(value) - 0.5 ELSE min(value) END AS lo,
            CASE WHEN min(value) = max(value) THEN max(value) + 0.5 ELSE max(value) END AS hi
-           FROM long GROUP BY "column"),
-guessed AS (SELECT "column", value, lo, hi, least(CAST(floor((value - lo) / (hi - lo) * 30) AS BIGINT), 29) AS g
-            FROM long JOIN bounds USING ("column")),
-binned AS (SELECT "column", g + CASE WHEN value < {_edge("g")} THEN -1
+           FROM long GROUP BY {keys}),
+guessed AS (SELECT {keys}, value, lo, hi, least(CAST(floor((value - lo) / (hi - lo) * 30) AS BIGINT), 29) AS g
+            FROM long JOIN bounds USING ({keys})),
+binned AS (SELECT {keys}, g + CASE WHEN value < {_edge("g")} THEN -1
              WHEN g < 29 AND value >= {_edge("(g + 1)")} THEN 1 ELSE 0 END AS i FROM guessed),
-counted AS (SELECT "column", i, count(*) AS c FROM binned GROUP BY ALL),
-slots AS (SELECT "column", lo, hi, i FROM bounds, generate_series(0, 29) AS g(i))"""
-HISTOGRAM_OUT = f"""
-SELECT "column", CAST(i + 1 AS INT) AS bin, {_r(_edge("i"))} AS "left", {_r(_edge("(i + 1)"))} AS "right",
+counted AS (SELECT {keys}, i, count(*) AS c FROM binned GROUP BY ALL),
+slots AS (SELECT {keys}, lo, hi, i FROM bounds, generate_series(0, 29) AS g(i))"""
+    query = f"""
+SELECT {keys}, CAST(i + 1 AS INT) AS bin, {_r(_edge("i"))} AS "left", {_r(_edge("(i + 1)"))} AS "right",
        CAST(coalesce(c, 0) AS BIGINT) AS count
-FROM slots LEFT JOIN counted USING ("column", i)"""
+FROM slots LEFT JOIN counted USING ({keys}, i)"""
+    return query, tables
+
+
+def _density(keys: str = '"column"') -> tuple[str, str]:
+    """The query, and the table it reads, of the density curves of ``long`` by keys."""
+    query = f"""SELECT {keys}, CAST(i AS INT) AS point, {_r("any_value(x)")} AS x,
+  {_r("sum(exp(-pow((x - value) / h, 2) / 2)) / (any_value(h) * sqrt(2 * pi())) * any_value((hi - lo) / 30)")} AS y
+FROM (SELECT {keys}, value, h, lo, hi, i, lo + i * ((hi - lo) / 199) AS x
+      FROM long JOIN shape USING ({keys}), generate_series(0, 199) AS g(i)) GROUP BY {keys}, i"""
+    table = f"""shape AS (SELECT {keys}, min(value) AS lo, max(value) AS hi, stddev_samp(value) * pow(count(*), -0.2) AS h
+                     FROM long GROUP BY {keys} HAVING count(*) > 1 AND max(value) > min(value))"""
+    return query, table
 
 # Cornish-Fisher expansion of the 97.5 % t quantile around the normal one.
 Z = 1.959963984540054
@@ -233,6 +247,10 @@ def _t975(df: str) -> str:
 COHORT_EDGES = """
 q AS (SELECT quantile_cont(TotalSalesDollars, 0.75) AS high, quantile_cont(TotalSalesDollars, 0.25) AS low FROM good)"""
 
+COHORT_LONG = """
+long AS (SELECT 'top' AS cohort, 'ProfitMargin' AS "column", ProfitMargin AS value FROM good, q WHERE TotalSalesDollars >= high
+         UNION ALL SELECT 'low', 'ProfitMargin', ProfitMargin FROM good, q WHERE TotalSalesDollars >= low)"""
+
 
 def _ci(low_rule: str) -> str:
     margin = f"{_t975('(n - 1)')} * sd / sqrt(n)"
@@ -321,13 +339,22 @@ def build() -> dict[str, str]:
     )
     sql["csv_import_status"] = src(
         """
-SELECT 'begin_inventory' AS "table", 'skipped' AS status, CAST(0 AS BIGINT) AS rows
+SELECT 'begin_inventory' AS "table", 'error' AS status, CAST(0 AS BIGINT) AS rows
 UNION ALL SELECT 'end_inventory', 'skipped', 0
 UNION ALL SELECT 'purchase_prices', 'loaded', count(*) FROM purchase_prices
 UNION ALL SELECT 'purchases', 'loaded', count(*) FROM purchases
 UNION ALL SELECT 'sales', 'loaded', count(*) FROM sales
 UNION ALL SELECT 'vendor_invoice', 'loaded', count(*) FROM vendor_invoice"""
     )
+    # as the writer saw them: a wide key, long texts, dates, numbers of which some cells are no numbers
+    sql["csv_column_report"] = """
+WITH t AS (SELECT max(o_orderkey + 3000000000) AS k, max(length(repeat(o_orderpriority, 80))) AS w,
+                  max(length(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR))) FILTER (o_custkey % 7 <> 0) AS d,
+                  CAST(count(*) FILTER (o_custkey % 7 = 0) AS BIGINT) AS lost FROM orders)
+SELECT 'Key' AS "column", 'bigint' AS type, '' AS width, CAST(0 AS BIGINT) AS lost FROM t
+UNION ALL SELECT 'Note', 'string', CASE WHEN w <= 1000 THEN 'varchar(' || w || ')' ELSE 'text' END, 0 FROM t
+UNION ALL SELECT 'Day', 'date', '', 0 FROM t
+UNION ALL SELECT 'Cents', 'decimal(' || greatest(12, d + 4) || ',4)', '', lost FROM t"""
     sql["summary_sink"] = summ(f"{clean} summary")
     sql["ensure_table"] = summ(f"{clean} summary")
 
@@ -509,17 +536,17 @@ FROM sized GROUP BY rank""",
 GROUP BY "column", p""",
         _long("good"),
     )
-    sql["histogram_summary"] = summ(HISTOGRAM_OUT, _long("summary"), HISTOGRAM)
-    sql["histogram_profitable"] = good(HISTOGRAM_OUT, _long("good"), HISTOGRAM)
-    sql["density_curves"] = good(
-        f"""SELECT "column", CAST(i AS INT) AS point, {_r("any_value(x)")} AS x,
-  {_r("sum(exp(-pow((x - value) / h, 2) / 2)) / (any_value(h) * sqrt(2 * pi())) * any_value((hi - lo) / 30)")} AS y
-FROM (SELECT "column", value, h, lo, hi, i, lo + i * ((hi - lo) / 199) AS x
-      FROM long JOIN shape USING ("column"), generate_series(0, 199) AS g(i)) GROUP BY "column", i""",
-        _long("good"),
-        """shape AS (SELECT "column", min(value) AS lo, max(value) AS hi, stddev_samp(value) * pow(count(*), -0.2) AS h
-                     FROM long GROUP BY "column" HAVING count(*) > 1 AND max(value) > min(value))""",
-    )
+    histogram, histogram_tables = _histogram()
+    sql["histogram_summary"] = summ(histogram, _long("summary"), histogram_tables)
+    sql["histogram_profitable"] = good(histogram, _long("good"), histogram_tables)
+    density, shape = _density()
+    sql["density_summary"] = summ(density, _long("summary"), shape)
+    sql["density_curves"] = good(density, _long("good"), shape)
+    by_cohort = 'cohort, "column"'
+    histogram, histogram_tables = _histogram(by_cohort)
+    sql["histogram_cohorts"] = good(histogram, COHORT_EDGES, COHORT_LONG, histogram_tables)
+    density, shape = _density(by_cohort)
+    sql["density_cohorts"] = good(density, COHORT_EDGES, COHORT_LONG, shape)
     sql["box_summary"] = summ(_box('"column"'), _long("summary"))
     sql["box_unit_price"] = good(
         _box('OrderSize, "column"'),

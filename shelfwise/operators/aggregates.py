@@ -82,6 +82,16 @@ def purchase_summary_max(
     )
 
 
+def order_by_total_purchases(summary: DataFrame) -> DataFrame:
+    """Purchase totals, largest first, ties by vendor and brand."""
+    return summary.orderBy(F.desc("TotalPurchaseDollars"), "VendorNumber", "Brand")
+
+
+def order_by_total_sales(summary: DataFrame) -> DataFrame:
+    """Sales totals, largest first, ties by vendor and brand."""
+    return summary.orderBy(F.desc("TotalSalesDollars"), "VendorNumber", "Brand")
+
+
 def purchases_by_brand_price(purchases: DataFrame) -> DataFrame:
     """Quantity and dollars per brand and cost."""
     known = purchases.where("Brand IS NOT NULL AND PurchasePrice IS NOT NULL")

@@ -6,8 +6,10 @@ bounds are one row per column and are the only broadcast side.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,20 +18,18 @@ from shelfwise.operators.quantiles import long_values, quantiles_of_counts, valu
 from shelfwise.session import materialize
 
 
-def _bounds(long: DataFrame) -> DataFrame:
-    return long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-
-
-def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
+def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30, by: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins from minimum to maximum, last bin closed, empty ones kept.
 
-    Rows (column, bin, left, right, count). A constant column is widened by one
-    half on both sides.
+    Rows (by..., column, bin, left, right, count), bins laid for each group. A
+    constant column is widened by one half on both sides.
     """
-    long = long_values(df, cols)
+    keys = [*by, "column"]
+    long = long_values(df, cols, by)
     flat = F.col("lo") == F.col("hi")
-    bounds = _bounds(long).select(
-        "column",
+    bounds = long.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    bounds = bounds.select(
+        *keys,
         F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
     )
@@ -45,16 +45,20 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
     nudge = F.when(F.col("value") < edge(F.col("guess")), -1).when(
         (F.col("value") >= edge(F.col("guess") + 1)) & (F.col("guess") < bins - 1), 1
     )
+    # Without groups there is one row per column; the number of groups has no bound.
+    if by:
+        placed = salted_join(long, bounds, keys, ["value"], "inner")
+    else:
+        placed = long.join(F.broadcast(bounds), keys)
     counts = (
-        long.join(F.broadcast(bounds), "column")
-        .withColumn("guess", guess)
-        .select("column", (F.col("guess") + F.coalesce(nudge, F.lit(0))).cast("int").alias("bin"))
-        .groupBy("column", "bin")
+        placed.withColumn("guess", guess)
+        .select(*keys, (F.col("guess") + F.coalesce(nudge, F.lit(0))).cast("int").alias("bin"))
+        .groupBy(*keys, "bin")
         .agg(F.count(F.lit(1)).alias("count"))
     )
     frame = bounds.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    return frame.join(counts, ["column", "bin"], "left").select(
-        "column",
+    return frame.join(counts, [*keys, "bin"], "left").select(
+        *keys,
         (F.col("bin") + 1).alias("bin"),
         edge(F.col("bin")).alias("left"),
         edge(F.col("bin") + 1).alias("right"),
@@ -62,16 +66,18 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
     )
 
 
-def kde(df: DataFrame, cols: Sequence[str], grid: int = 200, bins: int = 30) -> DataFrame:
+def kde(df: DataFrame, cols: Sequence[str], grid: int = 200, bins: int = 30, by: Sequence[str] = ()) -> DataFrame:
     """Gaussian density on an even grid, scaled to the counts of a histogram.
 
-    Bandwidth is Scott's: sample deviation times n^(-1/5). Rows (column, point,
-    x, y). Columns with fewer than two rows or no spread have no curve. Rows
-    shrink to counted values first; partial sums over the grid combine map-side.
+    Bandwidth is Scott's: sample deviation times n^(-1/5). Rows (by..., column,
+    point, x, y). Groups with fewer than two rows or no spread have no curve.
+    Rows shrink to counted values first; each task adds its values up over the
+    grid, so one row for each group and point leaves a batch.
     """
+    keys = [*by, "column"]
     shape = (
-        long_values(df, cols)
-        .groupBy("column")
+        long_values(df, cols, by)
+        .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.stddev_samp("value").alias("sd"),
@@ -81,30 +87,54 @@ def kde(df: DataFrame, cols: Sequence[str], grid: int = 200, bins: int = 30) ->
         .where("n > 1 AND hi > lo")
         .withColumn("width", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     )
+    counts = value_counts_long(df, cols, by)
+    sides = shape.select(*keys, "lo", "hi", "width")
+    # Without groups there is one row per column; the number of groups has no bound.
+    if by:
+        placed = salted_join(counts, sides, keys, ["value"], "inner")
+    else:
+        placed = counts.join(F.broadcast(sides), keys)
+    placed = placed.select(*keys, "value", "rows", "lo", "hi", "width")
+    schema = placed.select(*keys, F.lit(0).alias("point"), F.lit(0.0).alias("kernel")).schema
+    sums = placed.mapInPandas(_kernel_sums(keys, grid), schema).groupBy(*keys, "point")
     x = F.col("lo") + F.col("point") * ((F.col("hi") - F.col("lo")) / (grid - 1))
-    z = (F.col("x") - F.col("value")) / F.col("width")
-    kernel = F.sum(F.col("rows") * F.exp(-z * z / 2))
     # density * n * bin width, with the 1/n of the density cancelled out
     scale = (F.col("hi") - F.col("lo")) / bins / (F.col("width") * F.sqrt(F.lit(2.0) * F.pi()))
-    # The grid multiplies the work, not the bytes, by which small partitions are
-    # merged: one partition per core keeps all cores busy.
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    sums = (
-        value_counts_long(df, cols)
-        .repartition(cores)
-        .join(F.broadcast(shape.select("column", "lo", "hi", "width")), "column")
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-        .withColumn("x", x)
-        .groupBy("column", "point")
-        .agg(kernel.alias("kernel"))
-    )
-    return sums.join(F.broadcast(shape), "column").select(
-        "column", "point", x.alias("x"), (F.col("kernel") * scale).alias("y")
+    if not by:
+        shape = F.broadcast(shape)
+    return sums.agg(F.sum("kernel").alias("kernel")).join(shape, keys).select(
+        *keys, "point", x.alias("x"), (F.col("kernel") * scale).alias("y")
     )
 
 
+def _kernel_sums(keys: list[str], grid: int):
+    """Kernel sums of a batch's values at the points of each group's grid."""
+    points = np.arange(grid)
+    block = 2_000  # values at once, which bounds the matrix of values by points
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for names, part in frame.groupby(keys, dropna=False, sort=False):
+                lo, hi, width = (part[c].iloc[0] for c in ("lo", "hi", "width"))
+                x = lo + points * ((hi - lo) / (grid - 1))
+                kernel = np.zeros(grid)
+                for i in range(0, len(part), block):
+                    value = part["value"].to_numpy()[i : i + block]
+                    rows = part["rows"].to_numpy()[i : i + block]
+                    kernel += rows @ np.exp(-(((x - value[:, None]) / width) ** 2) / 2)
+                found = pd.DataFrame({"point": points.astype(np.int32), "kernel": kernel})
+                for key, name in reversed(list(zip(keys, names, strict=True))):
+                    found.insert(0, key, name)
+                yield found
+
+    return run
+
+
 def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Quartiles, whiskers within 1.5 interquartile ranges, and outlier count."""
+    """Quartiles, whiskers within 1.5 interquartile ranges, and outlier count.
+
+    Building the plan writes the value counts and their ranges to the shared folder.
+    """
     counts = materialize(value_counts_long(df, cols, by), "values")
     keys, names = [*by, "column"], ("q1", "median", "q3")
     quartiles = quantiles_of_counts(counts, (0.25, 0.5, 0.75), names, by).drop("n")

@@ -67,8 +67,14 @@ def mean_ci(
     )
 
 
-def _cohorts(df: DataFrame, measure: str, column: str, low_rule: str, share: float) -> DataFrame:
-    """Rows (cohort, value): top and low sellers; a row may be in both."""
+def cohorts(
+    df: DataFrame,
+    measure: str = "TotalSalesDollars",
+    column: str = "ProfitMargin",
+    low_rule: str = "ge",
+    share: float = 0.25,
+) -> DataFrame:
+    """Rows (cohort, value): top and low sellers; a row may be in both (see ``ci_top_low``)."""
     if low_rule not in ("ge", "le"):
         raise ValueError("low_rule is 'ge' or 'le'")
     edges = quantile_columns(df, [measure], (share, 1 - share), ("low", "high"))
@@ -97,7 +103,7 @@ def ci_top_low(
     all at or above the lower quartile, which overlaps the top; ``"le"`` takes
     those at or below it.
     """
-    return mean_ci(_cohorts(df, measure, column, low_rule, share), "value", ["cohort"], confidence)
+    return mean_ci(cohorts(df, measure, column, low_rule, share), "value", ["cohort"], confidence)
 
 
 def welch_test(
@@ -108,8 +114,8 @@ def welch_test(
     alpha: float = 0.05,
 ) -> DataFrame:
     """Two-sided unequal-variance t-test between top and low rows, one row."""
-    cohorts = _cohorts(df, measure, column, "le", share)
-    return welch_of_groups(cohorts, "cohort", TOP, LOW, "value", alpha)
+    both = cohorts(df, measure, column, "le", share)
+    return welch_of_groups(both, "cohort", TOP, LOW, "value", alpha)
 
 
 def welch_of_groups(

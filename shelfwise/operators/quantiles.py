@@ -1,11 +1,12 @@
 """Exact quantiles of many columns at once.
 
 Rows shrink to counted values first, so a value that repeats often is one row.
-A rank is then found with a running count. While all columns together have at most
-``ONE_TASK_VALUES`` distinct values, that count runs over a column in one task.
-Beyond it the values are range-partitioned: row counts of the partitions give
-each its first rank, and only the partitions that hold a wanted rank are counted
-through. No task then sees more than one range partition.
+The values are range-partitioned: row counts of the partitions give each its
+first rank, and only the partitions that hold a wanted rank are counted through.
+No task sees more than one range partition.
+
+Value counts and ranges are written to the shared folder, so building the plan of
+an exact quantile runs these two jobs.
 """
 
 from __future__ import annotations
@@ -17,8 +18,6 @@ from pyspark.sql import functions as F
 
 from shelfwise.session import materialize
 
-ONE_TASK_VALUES = 2_000_000
-
 
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Rows (by..., column, value) of the known numbers in ``cols``."""
@@ -44,18 +43,8 @@ def _holds(rank: str) -> str:
     return f"(first_rank <= {rank} AND {rank} < next_rank)"
 
 
-def _ranked(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Every value with the ranks [first_rank, next_rank) it covers, one task per column."""
-    up_to = Window.partitionBy(*keys).orderBy("value")
-    sums = {
-        "next_rank": F.sum("rows").over(up_to),
-        "n": F.sum("rows").over(Window.partitionBy(*keys)),
-    }
-    return counts.withColumns(sums).selectExpr("*", "next_rank - rows AS first_rank")
-
-
 def _ranked_near(counts: DataFrame, keys: list[str], ps: Sequence[float]) -> DataFrame:
-    """As :func:`_ranked`, for the range partitions that hold a wanted rank."""
+    """Values with the ranks [first_rank, next_rank) they cover, in the partitions that hold a wanted one."""
     ranges = counts.repartitionByRange(*keys, "value")
     # The partition number is written: recomputed range bounds could differ.
     ranged = materialize(ranges.withColumn("part", F.spark_partition_id()), "ranges")
@@ -94,14 +83,10 @@ def quantiles_of_counts(
     ps: Sequence[float],
     names: Sequence[str],
     by: Sequence[str] = (),
-    one_task_values: int = ONE_TASK_VALUES,
 ) -> DataFrame:
     """Quantiles of written value counts: one row (by..., column, n, names...) per column."""
     keys = [*by, "column"]
-    if counts.count() <= one_task_values:  # read from the file footers
-        ranked = _ranked(counts, keys)
-    else:
-        ranked = _ranked_near(counts, keys, ps)
+    ranked = _ranked_near(counts, keys, ps)
     cells = [F.expr(f"{_interpolated(p)} AS {name}") for p, name in zip(ps, names, strict=True)]
     return ranked.groupBy(*keys).agg(F.max("n").alias("n"), *cells)
 

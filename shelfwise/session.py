@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_scopes: list[str] = []
 
 
 # Adaptive execution picks broadcast joins from measured shuffle sizes, merges
@@ -23,11 +27,12 @@ ADAPTIVE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-PARTITIONS_PER_CORE = 8
 
 
-def build_session(master: str | None = None, app_name: str = "shelfwise", **conf: str) -> SparkSession:
-    """A session with the settings the operators rely on."""
+def build_session(
+    master: str | None = None, app_name: str = "shelfwise", partitions: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings the operators rely on; ``partitions`` as in :func:`tune`."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -37,43 +42,63 @@ def build_session(master: str | None = None, app_name: str = "shelfwise", **conf
     }
     for key, value in (ADAPTIVE | fixed | conf).items():
         builder = builder.config(key, value)
-    return tune(builder.getOrCreate())
+    return tune(builder.getOrCreate(), partitions)
 
 
-def tune(spark: SparkSession) -> SparkSession:
+def tune(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """Switch the adaptive settings on in a session built elsewhere.
 
-    On a cluster shuffles start with several partitions per core, so that each
-    stays small at any input size; adaptive execution merges those it does not
-    need. A number set by the user is kept.
+    ``partitions`` is the number that shuffles start with, on any master; adaptive
+    execution merges those it does not need. Without it the session's own setting
+    holds. Choose it so that the largest shuffle gives partitions of 100 to 200 MB:
+    about 100,000 for shuffles of 15 TB.
     """
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
-    cores = spark.sparkContext.defaultParallelism
-    if not spark.sparkContext.master.startswith("local") and not spark.conf.get(INITIAL, None):
-        usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set(INITIAL, str(max(usual, PARTITIONS_PER_CORE * cores)))
+    if partitions:
+        spark.conf.set(INITIAL, str(partitions))
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """Intermediate tables have no folder that all executors can reach."""
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables that every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a
-    local session uses a temporary folder and any other session a folder in the
-    warehouse, which is shared storage too.
+    session in one process uses a temporary folder; any other session raises
+    :class:`NoSharedFolder`. A ``file:`` folder is taken as named: it must be a
+    mount that all machines share.
     """
     context = spark.sparkContext
     app = context.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if base is None and context.master.startswith("local"):
+    if base is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors share")
         if app not in _local_dirs:
             _local_dirs[app] = tempfile.mkdtemp(prefix="shelfwise-")
             atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
         base = _local_dirs[app]
-    elif base is None:
-        base = spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/shelfwise/{app}"
+    return "/".join([base.rstrip("/"), "shelfwise", app, *_scopes])
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """A folder for the intermediate tables written inside, deleted at the end.
+
+    Results that still read from it must be written or collected before.
+    """
+    _scopes.append(f"scope-{uuid.uuid4().hex}")
+    folder = shared_dir(spark)
+    try:
+        yield folder
+    finally:
+        _scopes.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -86,7 +111,8 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 
     Used where several branches of a plan read one result: the upstream work
     runs once, the branches prune columns and push filters on the written
-    files, and a lost executor costs no recomputation.
+    files, and a lost executor costs no recomputation. The table stays until its
+    :func:`scratch_scope` ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)

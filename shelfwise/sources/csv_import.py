@@ -1,17 +1,17 @@
 """CSV files to typed tables.
 
-A file is scanned as text, types are chosen from a small sample and one
-aggregate over all rows, and the typed columns are written. Only the sample and
-one row of statistics reach the driver.
+A file is scanned as text, types are chosen from one aggregate over all cells,
+and the typed columns are written. Only one row of statistics reaches the driver.
+A file whose rows do not fit its header is refused, not cut.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
@@ -45,15 +45,24 @@ MISSING_TEXTS = (
 
 # Date forms, each with the texts it is tried on.
 DATE_FORMS = (
+    (r"^\d{4}-\d{1,2}-\d{1,2}T", "yyyy-M-d'T'H:m[:s]"),
     (r"^\d{4}-\d", "yyyy-M-d[ H:m[:s]]"),
     (r"^\d{4}/\d", "yyyy/M/d[ H:m[:s]]"),
     (r"^\d{1,2}-\d{1,2}-\d{4}", "d-M-yyyy[ H:m[:s]]"),
     (r"^\d{1,2}/\d{1,2}/\d{4}", "d/M/yyyy[ H:m[:s]]"),
     (r"^\d{1,2}\.\d{1,2}\.\d{4}", "d.M.yyyy[ H:m[:s]]"),
+    (r"^\d{1,2}-\d{1,2}-\d{2}( |$)", "d-M-yy[ H:m[:s]]"),
+    (r"^\d{1,2}/\d{1,2}/\d{2}( |$)", "d/M/yy[ H:m[:s]]"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{2}( |$)", "d.M.yy[ H:m[:s]]"),
     (r"^\d{1,2}-\p{Alpha}{3}-\d{4}", "d-MMM-yyyy"),
     (r"^\d{1,2} \p{Alpha}{3} \d{4}", "d MMM yyyy"),
+    (r"^\d{1,2}-\p{Alpha}{4,}-\d{4}", "d-MMMM-yyyy"),
+    (r"^\d{1,2} \p{Alpha}{4,} \d{4}", "d MMMM yyyy"),
+    (r"^\p{Alpha}{3} \d{1,2}, \d{4}", "MMM d, yyyy"),
+    (r"^\p{Alpha}{4,} \d{1,2}, \d{4}", "MMMM d, yyyy"),
 )
 
+# Texts that read as a whole number and as a number.
 INTEGER = r"^[+-]?\d+$"
 DECIMAL = r"^[+-]?\d+(\.\d+)?$"
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -69,7 +78,8 @@ class ColumnRule:
     kind: str
     type: DataType
     max_length: int
-    lost: int
+    known: int
+    lost: int = 0
 
     def typed(self) -> str:
         """SQL of the typed column; cells that do not fit the kind become null."""
@@ -101,139 +111,111 @@ def _number(cell: str, kind: str) -> str:
 def _date(cell: str) -> str:
     """Year-first or day-first date; each text is parsed with one form only."""
     cases = " ".join(
-        f"WHEN {_matches(f'trim({cell})', pattern)} THEN try_to_date(trim({cell}), '{form}')"
+        f"WHEN {_matches(f'trim({cell})', pattern)} THEN try_to_date(trim({cell}), \"{form}\")"
         for pattern, form in DATE_FORMS
     )
     return f"CASE {cases} END"
 
 
+class MalformedFile(ValueError):
+    """The rows of a file do not fit its header."""
+
+
 def read_csv_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """All columns as text, first line as header, byte-order mark dropped.
 
-    Texts that stand for a missing value are null. ``multiline`` allows line
-    breaks inside quotes; such a file is not split.
+    Texts that stand for a missing value are null, and so are the cells that a
+    short row lacks. A row with more cells than the header, or a line break inside
+    quotes where ``multiline`` is not set, raises :class:`MalformedFile`: two
+    aggregates over the file look for them. A ``multiline`` file is not split.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("encoding", "UTF-8")
-    raw = normalize_columns(reader.option("multiLine", multiline).csv(path))
+    reader = reader.option("multiLine", multiline)
+    names = reader.csv(path).columns
+    if not multiline:
+        _refuse_open_quotes(spark, path)
+    raw = normalize_columns(reader.csv(path))
+    fields = [StructField(name, StringType()) for name in [*names, CORRUPT]]
+    whole = reader.schema(StructType(fields)).option("columnNameOfCorruptRecord", CORRUPT)
+    _refuse_extra_cells(whole.option("columnPruning", False).csv(path), len(names))
     missing = ", ".join(f"'{text}'" for text in MISSING_TEXTS)
     known = "CASE WHEN {0} NOT IN ({1}) THEN {0} END AS {0}"
     return raw.selectExpr(*[known.format(_quoted(c), missing) for c in raw.columns])
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _refuse_open_quotes(spark: SparkSession, path: str) -> None:
+    """Lines with an odd number of quotes hold a part of a record only."""
+    odd = F.expr("(length(value) - length(replace(value, '\"', ''))) % 2 = 1")
+    lines = spark.read.text(path).agg(F.count_if(odd)).first()[0]
+    if lines:
+        raise MalformedFile(f"{lines} lines end inside quotes; read the file with multiline=True")
+
+
+def _refuse_extra_cells(checked: DataFrame, width: int) -> None:
+    """Rows that do not fit the schema are kept as text; those with more cells are counted."""
+    cells = F.size(F.split(F.regexp_replace(CORRUPT, '"([^"]|"")*"', ""), ","))
+    first = F.count(F.col(_quoted(checked.columns[0])))  # the reader wants another column beside
+    rows = checked.agg(F.count_if(F.col(CORRUPT).isNotNull() & (cells > width)), first).first()[0]
+    if rows:
+        raise MalformedFile(f"{rows} rows have more cells than the header")
+
+
 def normalize_columns(df: DataFrame) -> DataFrame:
     """Strip column names and join their words with underscores."""
     return df.toDF(*["_".join(name.lstrip("\ufeff").split()) for name in df.columns])
 
 
-def sample_cells(raw: DataFrame, rows: int) -> DataFrame:
-    """The first ``rows`` known cells of each column, rows (column, nr, cell).
+def infer_rules(raw: DataFrame, threshold: float = 0.6) -> list[ColumnRule]:
+    """Choose a type for every column from all its known cells.
 
-    Most columns are served by the head of the file. Those that are sparse there
-    share one pass over the file, in which every task keeps its first cells only.
+    A column is numeric if all its cells are numbers, or if a share of
+    ``threshold`` reads as one. It is an integer if all its cells are whole.
+    Other columns are dates if such a share parses, and text otherwise. Scale
+    follows the longest fraction, width the largest number.
     """
-    head = raw.take(rows)
-    cells: list[tuple[str, int, str]] = []
-    sparse = []
-    for i, name in enumerate(raw.columns):
-        found = [row[i] for row in head if row[i] is not None]
-        if len(found) < rows and len(head) == rows:
-            sparse.append(name)
-        else:
-            cells += [(name, nr, text) for nr, text in enumerate(found)]
-    sample = raw.sparkSession.createDataFrame(cells, "column string, nr int, cell string")
-    return sample.unionByName(_first_cells(raw, sparse, rows)) if sparse else sample
-
-
-def _first_cells(raw: DataFrame, names: list[str], rows: int) -> DataFrame:
-    quoted = [_quoted(name) for name in names]
-    placed = raw.select(F.monotonically_increasing_id().alias("_place"), *quoted)
-    long = placed.unpivot(["_place"], quoted, "column", "cell").where("cell IS NOT NULL")
-    order = Window.partitionBy("column").orderBy("_place")
-    ranked = long.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows)
-    return ranked.select("column", (F.col("rank") - 1).cast("int").alias("nr"), "cell")
-
-
-def infer_rules(
-    raw: DataFrame,
-    date_samples: int = 50,
-    number_samples: int = 30,
-    int_samples: int = 200,
-    threshold: float = 0.6,
-) -> list[ColumnRule]:
-    """Choose a type for every column.
-
-    A column is numeric if all its cells are numbers, or if enough of its first
-    cells look like one. It is an integer if the longer sample and all numbers
-    are whole. Other columns are dates if enough of their first cells parse, and
-    text otherwise. Width follows the largest number.
-    """
-    shares = _sample_shares(raw, date_samples, number_samples, int_samples)
-    may_be = {name: _candidates(shares.get(name, {}), threshold) for name in raw.columns}
-    stats = _column_stats(raw, may_be)
+    stats = _column_stats(raw)
     rules = []
     for name in raw.columns:
-        share, stat = shares.get(name, {}), stats[name]
+        stat = stats[name]
         known, numbers = stat["known"], stat["numbers"]
+        kind, chosen = "text", StringType()
         if known and known == stat["rows"] == stat["booleans"]:
-            rules.append(ColumnRule(name, "bool", IntegerType(), 5, 0))
-        elif known and numbers and (numbers == known or share["decimals"] >= threshold):
-            whole = stat["wholes"] == numbers and (numbers == known or share["integers"] == 1.0)
-            kind = _int_type(stat["largest"]) if whole else _decimal_type(stat["largest"])
-            name_of = "int" if whole else "decimal"
-            rules.append(ColumnRule(name, name_of, kind, stat["length"], known - numbers))
-        elif known and share["dates"] >= threshold:
-            rules.append(ColumnRule(name, "date", DateType(), stat["length"], known - stat["dates"]))
-        else:
-            rules.append(ColumnRule(name, "text", StringType(), stat["length"], 0))
+            kind, chosen = "bool", IntegerType()
+        elif known and numbers and (numbers == known or stat["decimals"] >= threshold * known):
+            whole = stat["wholes"] == known
+            kind = "int" if whole else "decimal"
+            chosen = _int_type(stat) if whole else _decimal_type(stat)
+        elif known and stat["dates"] >= threshold * known:
+            kind, chosen = "date", DateType()
+        rules.append(ColumnRule(name, kind, chosen, stat["length"], known))
     return rules
 
 
-def _sample_shares(raw: DataFrame, dates: int, numbers: int, ints: int) -> dict[str, dict]:
-    """Share of first cells that read as each kind, per column."""
-
-    def share(hit: str, first: int, name: str) -> str:
-        inside = f"nr < {first}"
-        return f"count_if({inside} AND {hit}) / greatest(count_if({inside}), 1) AS {name}"
-
-    flags = ", ".join(f"'{text}'" for text in BOOLEANS)
-    sampled = sample_cells(raw, max(dates, numbers, ints)).groupBy("column").agg(
-        F.expr(share(f"{_date('cell')} IS NOT NULL", dates, "dates")),
-        F.expr(share(_matches("trim(cell)", DECIMAL), numbers, "decimals")),
-        F.expr(share(_matches("cell", NUMBER), ints, "numbers")),
-        F.expr(share(_matches("trim(cell)", INTEGER), ints, "integers")),
-        F.expr(share(f"cell IN ({flags})", ints, "booleans")),
-    )
-    return {row["column"]: row.asDict() for row in sampled.collect()}
-
-
-def _candidates(share: dict, threshold: float) -> set[str]:
-    """Kinds a column can still have after its first cells were seen."""
-    kinds = set()
-    if share.get("numbers") == 1.0 or share.get("decimals", 0.0) >= threshold:
-        kinds.add("number")
-    if share.get("booleans") == 1.0:
-        kinds.add("bool")
-    if share.get("dates", 0.0) >= threshold:
-        kinds.add("date")
-    return kinds
-
-
-def _column_stats(raw: DataFrame, may_be: dict[str, set[str]]) -> dict[str, dict]:
-    """Counts over all rows, one pass, one row; only for kinds still possible."""
+def _column_stats(raw: DataFrame) -> dict[str, dict]:
+    """Counts over all rows, one pass, one row."""
     flags = ", ".join(f"'{text}'" for text in BOOLEANS)
     structs = []
     for name in raw.columns:
-        cell, kinds = _quoted(name), may_be[name]
-        value = _number(cell, "double")
+        cell = _quoted(name)
+        text, value = f"trim({cell})", _number(cell, "double")
+        power = f"coalesce(try_cast(regexp_extract({text}, '[eE]([+-]?[0-9]+)$', 1) AS INT), 0)"
+        fraction = f"length(regexp_extract({text}, '[.]([0-9]*?)0*([eE]|$)', 1))"
+        whole = f"length(regexp_extract({text}, '^[+-]?0*([0-9]*)', 1))"
         fields = {
             "rows": "count(1)",
             "known": f"count({cell})",
             "length": f"coalesce(max(length({cell})), 0)",
-            "numbers": f"count({value})" if "number" in kinds else "0L",
-            "wholes": f"count_if({_matches(f'trim({cell})', INTEGER)})" if "number" in kinds else "0L",
-            "largest": f"max(abs({value}))" if "number" in kinds else "CAST(NULL AS DOUBLE)",
-            "booleans": f"count_if({cell} IN ({flags}))" if "bool" in kinds else "0L",
-            "dates": f"count({_date(cell)})" if "date" in kinds else "0L",
+            "numbers": f"count({value})",
+            "decimals": f"count_if({_matches(text, DECIMAL)})",
+            "wholes": f"count_if({_matches(text, INTEGER)})",
+            "largest": f"max(abs({value}))",
+            "scale": f"coalesce(max(CASE WHEN {_matches(cell, NUMBER)} THEN greatest(0, {fraction} - {power}) END), 0)",
+            "digits": f"coalesce(max(CASE WHEN {_matches(cell, NUMBER)} THEN greatest(0, {whole} + {power}) END), 0)",
+            "booleans": f"count_if({cell} IN ({flags}))",
+            "dates": f"count({_date(cell)})",
         }
         body = ", ".join(f"{sql} AS {field}" for field, sql in fields.items())
         structs.append(F.expr(f"struct({body}) AS {cell}"))
@@ -241,18 +223,25 @@ def _column_stats(raw: DataFrame, may_be: dict[str, set[str]]) -> dict[str, dict
     return {name: row[name].asDict() for name in raw.columns}
 
 
-def _int_type(largest: float) -> DataType:
-    if largest <= INT_MAX:
+def _int_type(stat: dict) -> DataType:
+    if stat["largest"] <= INT_MAX:
         return IntegerType()
-    return LongType() if largest < LONG_MAX else DecimalType(38, 0)
+    if stat["largest"] < LONG_MAX:
+        return LongType()
+    return DecimalType(38, 0) if stat["digits"] <= 38 else DoubleType()
+
+
+def _decimal_type(stat: dict) -> DataType:
+    """Four decimals and twelve digits, more of both where the numbers need them."""
+    scale = max(4, stat["scale"])
+    digits = max(12, stat["digits"] + scale)
+    return DecimalType(digits, scale) if digits <= 38 else DoubleType()
 
 
-def _decimal_type(largest: float) -> DataType:
-    """Four decimals and twelve digits, more digits where the numbers need them."""
-    if largest >= 1e34:
-        return DoubleType()
-    digits = len(str(int(largest)))
-    return DecimalType(min(38, max(12, digits + 4)), 4)
+def measure_lost(typed: DataFrame, rules: list[ColumnRule]) -> list[ColumnRule]:
+    """The rules with the number of known cells that are null in the typed table."""
+    row = typed.agg(*[F.count(F.col(_quoted(r.name))).alias(f"c{i}") for i, r in enumerate(rules)]).first()
+    return [replace(r, lost=r.known - row[i]) for i, r in enumerate(rules)]
 
 
 def choose_types(raw: DataFrame, rules: list[ColumnRule]) -> DataFrame:
@@ -275,12 +264,12 @@ def _width(rule: ColumnRule) -> str:
     return f"varchar({rule.max_length})" if rule.max_length <= 1000 else "text"
 
 
-def load_csv(spark: SparkSession, path: str, target: str, multiline: bool = False) -> int:
-    """Import one file into a target and return the number of cells lost."""
+def load_csv(spark: SparkSession, path: str, target: str, multiline: bool = False) -> list[ColumnRule]:
+    """Import one file into a target and return its column rules, with the cells lost."""
     raw = read_csv_raw(spark, path, multiline)
     rules = infer_rules(raw)
     write_table(choose_types(raw, rules), target)
-    return sum(rule.lost for rule in rules)
+    return measure_lost(read_target(spark, target), rules)
 
 
 STATUS = StructType(
@@ -310,7 +299,7 @@ def import_tables(
     for file, table in files.items():
         target = f"{target_folder}/{table}" if target_folder else table
         try:
-            lost = load_csv(spark, f"{folder}/{file}", target, multiline)
+            lost = sum(r.lost for r in load_csv(spark, f"{folder}/{file}", target, multiline))
             rows = read_target(spark, target).count()
             report.append((table, "loaded", rows, lost, None))
         except AnalysisException as error:

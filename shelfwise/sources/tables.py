@@ -25,7 +25,8 @@ def ensure_table(
 ) -> DataFrame:
     """Create an empty typed Parquet table unless it exists, and return it."""
     ddl = schema.toDDL() if isinstance(schema, StructType) else schema
-    place = f" LOCATION '{location}'" if location else ""
+    quoted = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    place = f" LOCATION '{quoted}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{place}")
     return spark.table(name)
 

@@ -22,7 +22,8 @@ def write(path, text, bom=False):
 def load(spark, path, **kw):
     raw = ci.read_csv_raw(spark, path, **kw)
     rules = ci.infer_rules(raw)
-    return {r.name: r for r in rules}, ci.choose_types(raw, rules).collect()
+    typed = ci.choose_types(raw, rules)
+    return {r.name: r for r in ci.measure_lost(typed, rules)}, typed.collect()
 
 
 def column(tmp_path, spark, values):
@@ -64,14 +65,42 @@ def test_fractions(spark, tmp_path):
 def test_mostly_numeric_text(spark, tmp_path):
     rule, values = column(tmp_path, spark, ["750", "1750", "Unknown"])
     assert rule.type == DecimalType(12, 4) and values == [750, 1750, None] and rule.lost == 1
-    late = ["8"] * 200 + ["Unknown"]  # the first cells are all whole numbers
+    late = ["8"] * 200 + ["Unknown"]
     rule, values = column(tmp_path, spark, late)
-    assert rule.type == IntegerType() and values.count(8) == 200 and rule.lost == 1
+    assert rule.type == DecimalType(12, 4) and values.count(8) == 200 and rule.lost == 1
     late = ["8"] * 200 + ["1.5", "x"]  # a later fraction is kept
     rule, values = column(tmp_path, spark, late)
     assert rule.type == DecimalType(12, 4) and Decimal("1.5") in values
 
 
+def test_late_cells_decide_too(spark, tmp_path):
+    codes = [f"c{i}" for i in range(300)]
+    for first in (list(range(30)), ["2024-01-05"] * 50):
+        rule, values = column(tmp_path, spark, [*first, *codes])
+        assert rule.type == StringType() and rule.lost == 0
+        assert sorted(values) == sorted(map(str, [*first, *codes]))
+
+
+def test_no_digit_is_lost(spark, tmp_path):
+    rule, values = column(tmp_path, spark, ["0.123456", "2.5"])
+    assert rule.type == DecimalType(12, 6) and values == [Decimal("0.123456"), Decimal("2.5")]
+    rule, values = column(tmp_path, spark, ["99999999.99999", "1"])
+    assert rule.type == DecimalType(13, 5) and values[0] == Decimal("99999999.99999") and rule.lost == 0
+    rule, values = column(tmp_path, spark, ["1.5e-7", "2e3"])
+    assert rule.type == DecimalType(12, 8) and values == [Decimal("0.00000015"), Decimal(2000)]
+    rule, values = column(tmp_path, spark, ["0." + "1" * 30, "123456789.5"])  # more than 38 digits
+    assert rule.type == DoubleType() and rule.lost == 0
+
+
+def test_rows_that_do_not_fit_the_header(spark, tmp_path):
+    with pytest.raises(ci.MalformedFile, match="1 rows have more cells"):
+        ci.read_csv_raw(spark, write(tmp_path / "e.csv", "a,b\n1,2\n3,4,5\n"))
+    with pytest.raises(ci.MalformedFile, match="multiline=True"):
+        ci.read_csv_raw(spark, write(tmp_path / "q.csv", 'a,b\n1,"x\ny"\n2,z\n'))
+    raw = ci.read_csv_raw(spark, write(tmp_path / "s.csv", 'a,b\n1\n2,"x,y"\n'))  # a short row, a quoted comma
+    assert [tuple(r) for r in raw.collect()] == [("1", None), ("2", "x,y")]
+
+
 def test_half_numeric_stays_text(spark, tmp_path):
     rule, values = column(tmp_path, spark, ["1", "a", "2", "b"])
     assert rule.type == StringType() and set(values) == {"1", "a", "2", "b"}
@@ -98,7 +127,19 @@ def test_dates(spark, tmp_path):
     assert rule.type == IntegerType()
 
 
-def test_sparse_column_is_sampled_further_down(spark, tmp_path):
+def test_more_date_forms(spark, tmp_path):
+    texts = ["2024-01-05T10:00:00", "05/03/24", "6-3-24", "7.3.24", "8 March 2024", "9-September-2024"]
+    rule, values = column(tmp_path, spark, texts)
+    assert rule.type == DateType() and rule.lost == 0
+    assert values == [
+        dt.date(2024, 1, 5), dt.date(2024, 3, 5), dt.date(2024, 3, 6), dt.date(2024, 3, 7), dt.date(2024, 3, 8),
+        dt.date(2024, 9, 9),
+    ]
+    rule, values = column(tmp_path, spark, ['"March 8, 2024"', '"Sep 9, 2024"'])
+    assert values == [dt.date(2024, 3, 8), dt.date(2024, 9, 9)]
+
+
+def test_sparse_column(spark, tmp_path):
     body = "".join(f"{i},{i / 4 if i > 300 else ''}\n" for i in range(400))
     rules, rows = load(spark, write(tmp_path / "s.csv", "id,v\n" + body))
     assert rules["v"].type == DecimalType(12, 4)
@@ -122,6 +163,7 @@ def test_report(spark, tmp_path):
 def folder(tmp_path):
     write(tmp_path / "sales.csv", "VendorNo,SalesPrice\n1,2.5\n2,3.0\n")
     write(tmp_path / "begin_inventory.csv", "id,day\n1,2024-01-01\n")
+    write(tmp_path / "extra.csv", "a,b\n3,4,5\n")
     (tmp_path / "purchases.csv.gz").write_bytes(b"this is no archive")
     return tmp_path
 
@@ -129,13 +171,14 @@ def folder(tmp_path):
 def test_import_of_a_file_set(spark, folder, tmp_path):
     files = {
         "purchases.csv.gz": "purchases", "sales.csv": "sales",
-        "begin_inventory.csv": "begin_inventory", "end_inventory.csv": "end_inventory",
+        "begin_inventory.csv": "begin_inventory", "end_inventory.csv": "end_inventory", "extra.csv": "extra",
     }
     out = str(tmp_path / "tables")
     for _ in range(2):  # the second run replaces the tables
         report = {r.table: r for r in ci.import_tables(spark, str(folder), out, files).collect()}
     assert {t: r.status for t, r in report.items()} == {
         "purchases": "error", "sales": "loaded", "begin_inventory": "loaded", "end_inventory": "skipped",
+        "extra": "error",
     }
     assert report["sales"].rows == 2
     assert dict(spark.read.parquet(f"{out}/begin_inventory").dtypes) == {"id": "int", "day": "date"}

@@ -1,5 +1,6 @@
 """Shapes of the physical plans that decide how a query scales."""
 
+import os
 import re
 
 import pytest
@@ -8,7 +9,16 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from shelfwise.operators.aggregates import purchase_summary, sales_summary
 from shelfwise.plans.summary import build_summary
-from shelfwise.session import ADAPTIVE, scratch_path, shared_dir, tune
+from shelfwise.session import (
+    ADAPTIVE,
+    INITIAL,
+    NoSharedFolder,
+    materialize,
+    scratch_path,
+    scratch_scope,
+    shared_dir,
+    tune,
+)
 from shelfwise.sources import retail_views as views
 from tests.conftest import SMALL
 
@@ -73,7 +83,22 @@ def test_hot_brand_is_split(skewed):
     assert total == lines.selectExpr("sum(l_quantity)").first()[0]
     bought = purchase_summary(views.purchases(skewed), views.purchase_prices(skewed))
     bought.collect()
-    assert "SortMergeJoin(skew=true)" in plan_of(bought)
+    assert "SortMergeJoin(skew=true) [VendorNumber" in plan_of(bought)
+
+
+def test_brand_of_many_vendors_is_split(spark, skewed):
+    """A brand that stays hot after aggregation: the join of its totals with its offers is split."""
+    purchases = spark.range(90_000).selectExpr(
+        "id AS VendorNumber", "concat('V', id) AS VendorName", "CASE WHEN id % 3 = 0 THEN 11 ELSE id % 1000 END AS Brand",
+        "'d' AS Description", "CAST(2 AS DECIMAL(12,2)) AS PurchasePrice", "1 AS Quantity", "CAST(2 AS DECIMAL(12,2)) AS Dollars",
+    )
+    prices = spark.range(1000).selectExpr(
+        "id AS Brand", "id AS VendorNumber", "'d' AS Description", "CAST(3 AS DECIMAL(12,2)) AS Price", "10 AS Volume"
+    )
+    bought = purchase_summary(purchases, prices)
+    assert len(bought.collect()) == 90_000
+    joins = [line for line in plan_of(bought).splitlines() if "Join" in line]
+    assert "SortMergeJoin(skew=true) [Brand" in joins[0]
 
 
 def test_hot_vendor_is_salted(skewed):
@@ -102,3 +127,40 @@ def test_shared_folder_comes_from_the_session(spark):
     else:
         assert shared_dir(spark).startswith(named)
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+class Elsewhere:
+    """A session whose executors run on other machines."""
+
+    def __init__(self, folder, master="spark://somewhere:7077"):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = self
+        self.master, self.applicationId = master, "app-1"
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_a_cluster_must_name_its_folder():
+    for master in ("spark://somewhere:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(NoSharedFolder):
+            shared_dir(Elsewhere(None, master))
+    assert shared_dir(Elsewhere("hdfs://store/tmp/")) == "hdfs://store/tmp/shelfwise/app-1"
+
+
+def test_scope_deletes_its_tables(spark):
+    with scratch_scope(spark) as folder:
+        kept = materialize(spark.range(5), "x")
+        assert kept.count() == 5 and all(folder in f for f in kept.inputFiles())
+        path = folder.removeprefix("file:")
+        assert os.path.isdir(path)
+    assert not os.path.exists(path) and folder not in shared_dir(spark)
+
+
+def test_partition_number_is_a_parameter(spark):
+    before = spark.conf.get(INITIAL, None)
+    tune(spark)
+    assert spark.conf.get(INITIAL, None) == before
+    tune(spark, partitions=40)
+    assert spark.conf.get(INITIAL) == "40"
+    spark.conf.unset(INITIAL) if before is None else spark.conf.set(INITIAL, before)

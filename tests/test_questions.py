@@ -1,26 +1,30 @@
-import pandas as pd
 import pytest
 
+from shelfwise.operators.aggregates import order_by_total_purchases, order_by_total_sales
 from shelfwise.operators.metrics import (
-    ORDER_SIZES,
     profitable,
     with_order_size,
     with_unit_price,
     with_unsold_value,
 )
 from shelfwise.plans import questions as q
-from shelfwise.plans.summary import build_summary
-from shelfwise.session import materialize
 
-
-@pytest.fixture(scope="module")
-def rows(tables):
-    return profitable(materialize(build_summary(tables), "summary"))
+COLUMNS = (
+    "VendorName string, Description string, TotalPurchaseDollars double, GrossProfit double, TotalSalesDollars double, "
+    "ProfitMargin double, StockTurnover double, TotalPurchaseQuantity double, TotalSalesQuantity double, PurchasePrice double"
+)
+ROWS = [
+    ("A", "p1", 500.0, 100.0, 600.0, 16.67, 0.5, 100.0, 50.0, 5.0),
+    ("A", "p2", 100.0, 20.0, 120.0, 20.0, 0.9, 10.0, 9.0, 10.0),
+    ("B", "p1", 250.0, 50.0, 300.0, 10.0, 1.5, 50.0, 75.0, 5.0),
+    ("C", "p3", 100.0, 300.0, 400.0, 75.0, 0.7, 20.0, 14.0, 5.0),
+    ("D", "p4", 50.0, 30.0, 80.0, 90.0, 0.2, 5.0, 1.0, 10.0),
+]
 
 
 @pytest.fixture(scope="module")
-def local(rows):
-    return rows.toPandas()
+def rows(spark):
+    return spark.createDataFrame(ROWS, COLUMNS)
 
 
 def test_profitable_drops_losses_and_missing_margins(spark):
@@ -29,27 +33,20 @@ def test_profitable_drops_losses_and_missing_margins(spark):
     assert profitable(df).count() == 1
 
 
-def test_brand_questions_against_a_data_frame_library(rows, local):
-    brands = local.groupby("Description").agg({"TotalSalesDollars": "sum", "ProfitMargin": "mean"})
-    low = brands["TotalSalesDollars"].quantile(0.15)
-    high = brands["ProfitMargin"].quantile(0.85)
-    want = brands[(brands["TotalSalesDollars"] <= low) & (brands["ProfitMargin"] >= high)]
-    got = q.target_brands(rows).toPandas().set_index("Description")
-    assert set(got.index) == set(want.index) and len(got)
-    scatter = q.brand_scatter(rows, 200_000).toPandas()
-    assert 0 < len(scatter) < len(brands)
-    assert set(scatter[scatter.IsTarget].Description) <= set(want.index)
-    assert scatter.LowSalesThreshold.unique() == pytest.approx([low])
-    assert scatter.HighMarginThreshold.unique() == pytest.approx([high])
+def test_target_brands(rows):
+    """Sales 80, 120, 400, 900 have the 15 % point 98; margins 13.335, 20, 75, 90 the 85 % point 83.25."""
+    assert [r.Description for r in q.target_brands(rows).collect()] == ["p4"]
+    scatter = q.brand_scatter(rows, 500).collect()
+    assert {r.Description: r.IsTarget for r in scatter} == {"p2": False, "p3": False, "p4": True}
+    assert [r.LowSalesThreshold for r in scatter] == pytest.approx([98.0] * 3)
+    assert [r.HighMarginThreshold for r in scatter] == pytest.approx([83.25] * 3)
 
 
-def test_top_lists(rows, local):
-    want = local.groupby("VendorName")["TotalSalesDollars"].sum().nlargest(3)
-    got = q.top_vendors(rows, 3).toPandas()
-    assert got.VendorName.tolist() == want.index.tolist()
-    assert got.TotalSalesDollars.tolist() == pytest.approx(want.tolist())
-    texts = q.top_brands(rows, 3).toPandas().SalesText
-    assert texts.str.fullmatch(r"\d+\.\d\d[KM]").all()
+def test_top_lists(rows):
+    got = q.top_vendors(rows, 3).collect()
+    assert [(r.VendorName, r.TotalSalesDollars) for r in got] == [("A", 720.0), ("C", 400.0), ("B", 300.0)]
+    brands = q.top_brands(rows, 2).collect()
+    assert [(r.Description, r.SalesText) for r in brands] == [("p1", "900.0"), ("p3", "400.0")]
 
 
 def test_ties_fall_to_the_first_key(spark):
@@ -58,42 +55,31 @@ def test_ties_fall_to_the_first_key(spark):
     assert [r.VendorName for r in q.top_vendors(df, 2).collect()] == ["c", "a"]
 
 
-def test_contribution_and_pareto(rows, local):
-    perf = local.groupby("VendorName").agg(
-        {"TotalPurchaseDollars": "sum", "GrossProfit": "sum", "TotalSalesDollars": "sum"}
-    )
-    perf["share"] = perf["TotalPurchaseDollars"] / perf["TotalPurchaseDollars"].sum() * 100
-    perf = round(perf.sort_values("share", ascending=False), 2)
-    got = q.purchase_contribution(rows).toPandas()
-    assert got.VendorName.tolist() == perf.index.tolist()
-    assert got[q.SHARE].tolist() == perf["share"].tolist()
-    assert got[q.SHARE].sum() == pytest.approx(100, abs=0.05)
-    pareto = q.pareto(rows, 4).toPandas()
-    assert pareto[q.RUNNING_SHARE].tolist() == pytest.approx(perf["share"].head(4).cumsum().tolist())
-    total = q.contribution_total(rows, 4).first()[0]
-    assert total == pytest.approx(round(perf["share"].head(4).sum(), 2))
-    other = q.contribution_with_other(rows, 4).toPandas()
-    assert other.VendorName.tolist()[-1] == q.OTHER and len(other) == 5
-    assert other[q.SHARE].sum() == pytest.approx(100)
-
-
-def test_slow_vendors_and_locked_capital(rows, local):
-    want = local[local.StockTurnover < 1].groupby("VendorName").StockTurnover.mean().sort_values().head(5)
-    got = q.slow_vendors(rows, 5).toPandas()
-    assert got.StockTurnover.tolist() == pytest.approx(want.tolist())
-    local = local.assign(u=(local.TotalPurchaseQuantity - local.TotalSalesQuantity) * local.PurchasePrice)
+def test_contribution_and_pareto(rows):
+    """Purchases of 1000 in all: 600, 250, 100 and 50."""
+    got = q.purchase_contribution(rows).collect()
+    assert [(r.VendorName, r[q.SHARE]) for r in got] == [("A", 60.0), ("B", 25.0), ("C", 10.0), ("D", 5.0)]
+    running = [r[q.RUNNING_SHARE] for r in q.pareto(rows, 3).collect()]
+    assert running == pytest.approx([60.0, 85.0, 95.0])
+    assert q.contribution_total(rows, 2).first()[0] == pytest.approx(85.0)
+    other = q.contribution_with_other(rows, 2).collect()
+    assert [(r.VendorName, r[q.SHARE]) for r in other] == [("A", 60.0), ("B", 25.0), (q.OTHER, 15.0)]
+
+
+def test_slow_vendors_and_locked_capital(rows):
+    """Unsold: A 50 at 5 and 1 at 10, B -25 at 5, C 6 at 5, D 4 at 10."""
+    slow = q.slow_vendors(rows, 5).collect()
+    assert [r.VendorName for r in slow] == ["D", "A", "C"]
+    assert [r.StockTurnover for r in slow] == pytest.approx([0.2, 0.7, 0.7])
     total = q.total_locked_capital(rows).first()
-    assert total.UnsoldInventoryValue == pytest.approx(local.u.sum())
-    assert total.UnsoldInventoryText == str(total.UnsoldInventoryValue)  # negative: plain number
-    top = local.groupby("VendorName").u.sum().nlargest(2)
-    assert q.locked_capital(rows, 2).toPandas().VendorName.tolist() == top.index.tolist()
+    assert (total.UnsoldInventoryValue, total.UnsoldInventoryText) == (205.0, "205.0")
+    assert [r.VendorName for r in q.locked_capital(rows, 2).collect()] == ["A", "D"]
 
 
-def test_kpis(rows, local):
+def test_kpis(rows):
     row = q.kpis(rows).first()
-    assert row.TotalSales == pytest.approx(local.TotalSalesDollars.sum())
-    assert row.TotalPurchases + row.GrossProfit == pytest.approx(row.TotalSales)
-    assert row.AvgProfitMargin == pytest.approx(local.ProfitMargin.mean())
+    assert (row.TotalSales, row.TotalPurchases, row.GrossProfit) == (1500.0, 1000.0, 500.0)
+    assert row.AvgProfitMargin == pytest.approx(42.334)
 
 
 def test_unit_price_and_unsold_value(spark):
@@ -110,9 +96,9 @@ def sizes(spark, values):
 
 
 def test_order_size_keeps_ties_together(spark):
-    values = [1, 1, 2, 2, 2, 3, 3, 4, 5, 6]
-    want = pd.qcut(pd.Series(values), q=3, labels=list(ORDER_SIZES)).astype(str)
-    assert sizes(spark, values) == dict(zip(map(float, values), want, strict=True))
+    """The third points of these ten values are 2 and 3."""
+    got = sizes(spark, [1, 1, 2, 2, 2, 3, 3, 4, 5, 6])
+    assert got == {1: "Small", 2: "Small", 3: "Medium", 4: "Large", 5: "Large", 6: "Large"}
 
 
 def test_order_size_refuses_equal_edges(spark):
@@ -120,8 +106,17 @@ def test_order_size_refuses_equal_edges(spark):
         sizes(spark, [1, 1, 1, 1, 2])
 
 
-def test_unit_price_by_order_size(rows, local):
-    sizes_ = pd.qcut(local.TotalPurchaseQuantity, q=3, labels=list(ORDER_SIZES))
-    want = (local.TotalPurchaseDollars / local.TotalPurchaseQuantity).groupby(sizes_, observed=False).mean()
-    got = q.unit_price_by_order_size(rows).toPandas().set_index("OrderSize").UnitPurchasePrice
-    assert got.to_dict() == pytest.approx(want.to_dict())
+def test_unit_price_by_order_size(rows):
+    """Quantities 5 and 10 are small, 20 medium, 50 and 100 large."""
+    got = {r.OrderSize: r.UnitPurchasePrice for r in q.unit_price_by_order_size(rows).collect()}
+    assert got == pytest.approx({"Small": 10.0, "Medium": 5.0, "Large": 5.0})
+
+
+def test_ordered_totals(spark):
+    bought = spark.createDataFrame(
+        [(2, 7, 10.0), (1, 9, 10.0), (1, 3, 10.0), (5, 1, 99.0)],
+        "VendorNumber bigint, Brand bigint, TotalPurchaseDollars double",
+    )
+    assert [(r[0], r[1]) for r in order_by_total_purchases(bought).collect()] == [(5, 1), (1, 3), (1, 9), (2, 7)]
+    sold = bought.withColumnRenamed("TotalPurchaseDollars", "TotalSalesDollars")
+    assert [(r[0], r[1]) for r in order_by_total_sales(sold).collect()] == [(5, 1), (1, 3), (1, 9), (2, 7)]

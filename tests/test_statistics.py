@@ -45,13 +45,12 @@ def as_dict(rows, names):
     return {r["column"]: [r[n] for n in names] for r in rows}
 
 
-@pytest.mark.parametrize("one_task", [10_000_000, 5])
-def test_quantiles_equal_numpy(spark, df, sample, one_task):
+def test_quantiles_equal_numpy(spark, df, sample):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         names = [f"q{i}" for i in range(len(PS))]
         counts = materialize(value_counts_long(df, ["a", "b", "c", "k"]), "values")
-        found = quantiles_of_counts(counts, PS, names, one_task_values=one_task).collect()
+        found = quantiles_of_counts(counts, PS, names).collect()
         got = as_dict(found, names)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -59,10 +58,9 @@ def test_quantiles_equal_numpy(spark, df, sample, one_task):
         assert got[col] == pytest.approx(sample[col].quantile(list(PS)).tolist(), rel=1e-12)
 
 
-@pytest.mark.parametrize("one_task", [10_000_000, 3])
-def test_grouped_quantiles(df, sample, one_task):
+def test_grouped_quantiles(df, sample):
     counts = materialize(value_counts_long(df, ["a"], ["g"]), "values")
-    got = quantiles_of_counts(counts, (0.5, 0.9), ("m", "n9"), ["g"], one_task).collect()
+    got = quantiles_of_counts(counts, (0.5, 0.9), ("m", "n9"), ["g"]).collect()
     want = sample.groupby("g").a.quantile([0.5, 0.9]).unstack()
     assert {r.g: (r.m, r.n9) for r in got} == {
         g: pytest.approx((want.loc[g, 0.5], want.loc[g, 0.9])) for g in "xyz"
@@ -99,6 +97,22 @@ def test_histogram_puts_edges_in_the_upper_bin(spark):
     assert got == np.histogram(values, bins=30)[0].tolist()
 
 
+def test_grouped_histogram_and_density(df, sample):
+    bins = histogram(df, ["a"], by=["g"]).toPandas()
+    curves = kde(df, ["a"], by=["g"]).toPandas()
+    for g, part in sample.groupby("g"):
+        v = part.a.to_numpy()
+        counts, edges = np.histogram(v, bins=30)
+        mine = bins[bins.g == g].sort_values("bin")
+        assert mine["count"].tolist() == counts.tolist()
+        assert mine["left"].tolist() == pytest.approx(edges[:-1].tolist())
+        width = v.std(ddof=1) * len(v) ** -0.2
+        x = np.linspace(v.min(), v.max(), 200)
+        y = np.exp(-(((x[:, None] - v) / width) ** 2) / 2).sum(1) / width / np.sqrt(2 * np.pi) * (v.max() - v.min()) / 30
+        curve = curves[curves.g == g].sort_values("point")
+        assert curve.x.tolist() == pytest.approx(x.tolist()) and curve.y.tolist() == pytest.approx(y.tolist())
+
+
 def test_density_curve(df, sample):
     rows = kde(df, ["b", "c", "k"]).toPandas()
     assert set(rows.column) == {"b", "c"}  # no curve without spread

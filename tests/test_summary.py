@@ -128,6 +128,7 @@ def test_order_is_by_purchase_dollars(small):
 
 
 # One published run: five rows before and after cleaning.
+# Published rows before and after cleaning.
 BEFORE = [
     (1128, "BROWN-FORMAN CORP           ", 145080.0, 3811251.60, 142049.0, 5101919.51),
     (4425, "MARTIGNETTI COMPANIES", 164038.0, 3804041.22, 160247.0, 4819073.49),
