@@ -10,7 +10,7 @@ a register with the probability Jaccard similarity of the documents.
 Bands of registers put documents into buckets. In each bucket the document that
 shares most buckets with others is compared with all members by exact similarity.
 Documents that are still in different components, though they share a bucket, are
-then compared in blocks, so that no link is lost to the choice of the leader.
+then compared in blocks, so that no component is lost to the choice of the leader.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: Members that one copy of a leader's text serves, and documents in a block.
 LEADER_MEMBERS = 500
-BLOCK = 256
+BLOCK = 512
 #: A pair is verified unless its signatures agree by this many deviations too little.
 DEVIATIONS = 4
 #: Characters that are hashed at once.
@@ -147,26 +147,23 @@ def _compare(threshold: float):
     return run
 
 
-def verify(pairs: DataFrame, documents: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """Those of the pairs (leader, id) whose documents (id, text) are similar, as (a, b).
+def verify(pairs: DataFrame, texts: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+    """Those of the pairs (leader, id) whose texts (id, text) are similar, as (a, b).
 
-    The texts of documents in pairs are shuffled once and written. Each leader's
-    text is sent ahead of its members, once for each LEADER_MEMBERS of them, so a
-    leader of a third of all rows is compared in many tasks.
+    Each leader's text is sent ahead of its members, once for each LEADER_MEMBERS
+    of them, so a leader of a third of all rows is compared in many tasks.
     """
-    kind = documents.schema["id"].dataType
-    named = pairs.select("id").union(pairs.select("leader")).distinct()
-    texts = materialize(documents.join(named, "id"), "pair-texts")
+    kind = texts.schema["id"].dataType
     shares = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / LEADER_MEMBERS).cast("int").alias("shares"))
     ahead = (
         shares.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
-        .join(texts.withColumnRenamed("id", "leader"), "leader")
+        .join(texts.select(F.col("id").alias("leader"), "text"), "leader")
         .select("leader", "share", F.lit(0).alias("kind"), F.col("leader").alias("id"), "text")
     )
     members = (
         pairs.join(shares, "leader")
         .withColumn("share", F.pmod(F.xxhash64("id"), F.col("shares")).cast("int"))
-        .join(texts, "id")
+        .join(texts.select("id", "text"), "id")
         .select("leader", "share", F.lit(1).alias("kind"), "id", "text")
     )
     rows = (
@@ -179,31 +176,47 @@ def verify(pairs: DataFrame, documents: DataFrame, threshold: float = SIMILARITY
     return found.select(F.col("a").cast(kind), F.col("b").cast(kind))
 
 
-def _block_pairs(threshold: float):
-    """Pairs of different components in a block whose signatures agree enough."""
+def _block_links(threshold: float):
+    """Links between different components in the rows of a block.
+
+    Pairs whose signatures agree enough are compared by exact similarity, unless
+    links found in this block already connect them; so a block of n documents
+    gives n - 1 links at most.
+    """
     least = (threshold - DEVIATIONS * np.sqrt(threshold * (1 - threshold) / REGISTERS)) * REGISTERS
 
-    def pairs_of(rows: list[tuple]) -> tuple[list, list]:
+    def links_of(rows: list[tuple]) -> tuple[list, list]:
         band, leader = rows[0][1], rows[0][2]
-        ids, labels, blocks = ([r[k] for r in rows] for k in (3, 4, 5))
+        ids, labels, blocks, texts = ([r[k] for r in rows] for k in (3, 4, 5, 7))
         one = np.array(blocks) == min(blocks)
-        if one.all():
-            first = second = np.arange(len(rows))
-        else:
-            first, second = np.flatnonzero(one), np.flatnonzero(~one)
+        first, second = (np.arange(len(rows)),) * 2 if one.all() else (np.flatnonzero(one), np.flatnonzero(~one))
         number = np.unique(labels, return_inverse=True)[1]
+        parent = list(range(len(rows)))
         signs = np.frombuffer(b"".join(r[6] for r in rows), np.uint32).reshape(len(rows), REGISTERS)
         lead = np.array([i == leader for i in ids])
-        left, right = [], []
-        for i in first:
-            others = second[second > i] if first is second else second
+        pairs = []
+        for i in first[~lead[first]]:
+            others = second[second > i] if one.all() else second
             others = others[(number[others] != number[i]) & ~lead[others]]
-            if lead[i] or not len(others):
-                continue
             equal = signs[others] == signs[i]
             good = equal.sum(1) >= least
             shared = equal[good].reshape(-1, BANDS, ROWS).all(2)
-            for j in others[good][shared.argmax(1) == band]:  # a pair counts in its first common band
+            # a pair counts in its first common band
+            pairs += [(i, j) for j in others[good][shared.argmax(1) == band]]
+        needed = sorted({k for pair in pairs for k in pair})
+        needed_texts = [texts[k] for k in needed]
+        sets = dict(zip(needed, (w for part in _steps(needed_texts) for w in _weighted(needed_texts[part]))))
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        left, right = [], []
+        for i, j in pairs:
+            x, y = find(int(number[i])), find(int(number[j]))
+            if x != y and similarity(sets[i], sets[j]) >= threshold:
+                parent[x] = y
                 left.append(ids[i])
                 right.append(ids[j])
         return left, right
@@ -214,20 +227,32 @@ def _block_pairs(threshold: float):
             left, right = [], []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and held[0][0] != row[0]:
-                    found = pairs_of(held)
+                    found = links_of(held)
                     left += found[0]
                     right += found[1]
                     held = []
                 held.append(row)
             yield [left, right]
         if held:
-            yield list(pairs_of(held))
+            yield list(links_of(held))
 
     return run
 
 
-def _open_pairs(live: DataFrame, labels: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (leader, id) that share a bucket, were not compared yet and lie in different components."""
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (leader, id) whose documents lie in different components."""
+    of = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"{name}_label"))
+    label = lambda name: F.coalesce(f"{name}_label", name)
+    found = pairs.join(of("id"), "id", "left").join(of("leader"), "leader", "left")
+    return found.where(label("id") != label("leader")).select("leader", "id")
+
+
+def _open_links(live: DataFrame, labels: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) of documents that share a bucket, were not compared yet and lie in different components.
+
+    A bucket of many documents is dealt into blocks, and every two blocks meet in
+    one group of at most twice BLOCK rows.
+    """
     kind = live.schema["id"].dataType
     rows = live.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     mixed = (
@@ -241,7 +266,7 @@ def _open_pairs(live: DataFrame, labels: DataFrame, signed: DataFrame, threshold
         rows.join(mixed, ["band", "bucket"])
         .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .join(signed.select("id", "signature"), "id")
+        .join(texts, "id")
         .withColumn("lo", F.least("block", "other"))
         .withColumn("hi", F.greatest("block", "other"))
         .repartition("band", "bucket", "lo", "hi")
@@ -254,10 +279,11 @@ def _open_pairs(live: DataFrame, labels: DataFrame, signed: DataFrame, threshold
             F.col("label").cast("string"),
             "block",
             "signature",
+            "text",
         )
     )
-    found = map_text(rows, _block_pairs(threshold), "leader string, id string")
-    return found.select(F.col("leader").cast(kind), F.col("id").cast(kind)).distinct()
+    found = map_text(rows, _block_links(threshold), "a string, b string")
+    return found.select(F.col("a").cast(kind), F.col("b").cast(kind))
 
 
 def classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -302,16 +328,27 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: f
         live.join(company, "id")
         .groupBy("band", "bucket")
         .agg(F.min(F.struct((-F.col("company")).alias("order"), F.col("id"))).alias("first"))
-        .select("band", "bucket", F.col("first.id").alias("leader"))
+        .select("band", "bucket", F.col("first.id").alias("leader"), F.col("first.order").alias("order"))
     )
     live = materialize(live.join(leaders, ["band", "bucket"]), "led-buckets")
-    pairs = materialize(live.where("id <> leader").select("leader", "id").distinct(), "pairs")
-    links = materialize(verify(pairs, docs, threshold), "links")
+    pairs = live.where("id <> leader").groupBy("id", "leader").agg(F.first("order").alias("order"))
+    pairs = materialize(pairs, "pairs")
+    # The texts of all documents in shared buckets. A shuffle at every size: their ids
+    # have no bound that a broadcast could rely on.
+    signs = signed.select("id", "signature").join(live.select("id").distinct(), "id", "left_semi")
+    texts = materialize(docs.join(signs.hint("merge"), "id"), "texts")
+    # first against one leader each; then against the others that are not in the same component yet
+    best = pairs.groupBy("id").agg(F.min(F.struct("order", "leader")).alias("best"))
+    best = materialize(best.select("id", F.col("best.leader").alias("leader")), "best-pairs")
+    links = materialize(verify(best, texts, threshold), "links")
     labels = materialize(components(links), "labels")
-    rest = materialize(_open_pairs(live, labels, signed, threshold), "open-pairs")
+    more = materialize(_apart(pairs.select("id", "leader").join(best, ["id", "leader"], "left_anti"), labels), "pairs")
+    if not more.isEmpty():
+        links = links.union(materialize(verify(more, texts, threshold), "links"))
+        labels = materialize(components(links), "labels")
+    rest = materialize(_open_links(live, labels, texts, threshold), "links")
     if not rest.isEmpty():
-        links = links.union(materialize(verify(rest, docs, threshold), "links"))
-        labels = components(links)
+        labels = components(links.union(rest))
     return members.join(labels.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
         F.col("id").alias(key), F.coalesce("label", "node").alias("class_id")
     )
