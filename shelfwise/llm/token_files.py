@@ -28,7 +28,7 @@ from shelfwise.llm.pieces import is_plain, plain_splitter
 TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 #: Pieces whose ids a task keeps, and the longest piece worth keeping.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 800_000
 KEPT_CHARS = 64
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -86,7 +86,8 @@ def write_tokens(
 
     Columns: doc_id, row (order of all rows: partition and place), ids. A null or
     empty text is written as ``end_id`` alone; rows with the same key stand in
-    order of their text; a null key comes first. Other columns are ignored.
+    order of a hash of their text, so that they may lie in several partitions; a
+    null key comes first. Other columns are ignored.
     """
     spark = prepare(df.sparkSession)
     with open(tokenizer_file, encoding="utf-8") as file:
@@ -103,8 +104,9 @@ def write_tokens(
 
     ordered = (
         df.select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), *string_type(df, [text]))
-        .repartitionByRange("doc_id", text)
-        .sortWithinPartitions("doc_id", text)
+        .withColumn("tie", F.xxhash64(text))
+        .repartitionByRange("doc_id", "tie")
+        .sortWithinPartitions("doc_id", "tie")
         .select("doc_id", F.monotonically_increasing_id().alias("row"), text)
     )
     map_text(ordered, run, "doc_id bigint, row bigint, ids array<int>").write.options(**ORC_OPTIONS).orc(path)
