@@ -29,9 +29,9 @@ from shelfwise.llm.pieces import is_plain, plain_splitter
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Pieces whose result a task keeps, and the longest piece worth keeping.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 200_000
 KEPT_BYTES = 64
-KEPT_PAIRS = 400_000
+KEPT_PAIRS = 200_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:

@@ -16,7 +16,7 @@ from shelfwise.session import materialize, scratch_path, tune
 #: Rows of an Arrow batch. Texts may be long, so batches hold few of them.
 BATCH_ROWS = 400
 
-__all__ = ["Sent", "labelled_sample", "materialize", "scratch_path", "map_text", "prepare", "read_table", "sha_hex", "string_type"]
+__all__ = ["Sent", "forget_made", "labelled_sample", "materialize", "scratch_path", "map_text", "prepare", "read_table", "sha_hex", "string_type"]
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -78,7 +78,7 @@ def sha_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-_made: dict[str, tuple[str, Any]] = {}
+_made: dict[str, Any] = {}
 
 
 class Sent:
@@ -89,9 +89,13 @@ class Sent:
         self.broadcast = spark.sparkContext.broadcast(value)
 
     def made(self, build: Callable[[Any], Any]) -> Any:
-        """``build(value)``, kept in this worker until the next value for ``build`` comes."""
-        kind = f"{build.__module__}.{build.__qualname__}"
-        if _made.get(kind, ("",))[0] != self.name:
-            _made.pop(kind, None)
-            _made[kind] = (self.name, build(self.broadcast.value))
-        return _made[kind][1]
+        """``build(value)``, kept in this worker until another value is made: it holds one at a time."""
+        if self.name not in _made:
+            _made.clear()
+            _made[self.name] = build(self.broadcast.value)
+        return _made[self.name]
+
+
+def forget_made() -> None:
+    """Drop what this worker keeps for an operator that ran in it before."""
+    _made.clear()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import map_text, materialize, prepare, string_type
+from shelfwise.llm.common import forget_made, map_text, materialize, prepare, string_type
 from shelfwise.llm.components import components
 from shelfwise.llm.shingles import content_keys, mix, shingles, word_hashes
 
@@ -101,6 +101,7 @@ def _steps(texts: list[str | None]) -> Iterator[slice]:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+    forget_made()
     for batch in batches:
         all_texts, all_ids = batch.column(1).to_pylist(), batch.column(0)
         for part in _steps(all_texts):
@@ -131,6 +132,7 @@ def _compare(threshold: float):
     """Members against the leader before them, in rows sorted by leader."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        forget_made()
         leader, own = None, None
         for batch in batches:
             groups, ids, kinds, texts = (batch.column(i).to_pylist() for i in range(4))
@@ -222,6 +224,7 @@ def _block_links(threshold: float):
         return left, right
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        forget_made()
         held: list[tuple] = []
         for batch in batches:
             left, right = [], []
