@@ -2,8 +2,9 @@
 
 The sender's letters pass a channel that writes look-alike signs for letters,
 puts separators between letters, stretches letters and masks them. What may have
-been sent is a lattice over the observed characters; Viterbi search finds the
-path that a character language model and the channel make most likely.
+been sent is a lattice over the observed characters; Viterbi search over all
+states of the model finds the path that a character language model and the channel
+make most likely. Masks stand for any of the LETTERS letters that the model knows.
 """
 
 from __future__ import annotations
@@ -19,9 +20,12 @@ LOOK_ALIKE = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c",
 }
 MASKS = "*#%?"
+#: Look-alikes that may also be punctuation at the ends of a text.
+PUNCTUATION = "!|+("
+#: States that are searched one by one; more are searched as one array.
+MANY = 1_000
 #: Costs of the channel, in nats.
 SIGN_COST, DROP_COST, STRETCH_COST, MASK_COST, BREAK_COST = 0.7, 0.3, 0.2, 2.0, 1.0
-BEAM = 40
 ORDER = 4
 #: Symbols of the language model: the border of a word, all other letters, and these many letters.
 LETTERS = 40
@@ -48,6 +52,8 @@ class CharModel:
             seen, kinds = now.sum(-1, keepdims=True), (now > 0).sum(-1, keepdims=True)
             prob = np.where(seen > 0, (now + kinds * prob) / np.maximum(seen + kinds, 1), prob)
         self.cost = (-np.log(prob)).astype(np.float32)
+        # what a symbol costs at least, whatever stands before it
+        self.least = self.cost.reshape(-1, size).min(0).astype(np.float64)
 
     def code(self, letter: str) -> int:
         return self.index.get(letter, OTHER)
@@ -60,54 +66,91 @@ def word_grams(word: str, known: frozenset[str]) -> Iterator[str]:
     return (padded[i : i + ORDER] for i in range(len(plain) + 1))
 
 
-def _readings(text: str) -> Iterator[tuple[str, list[tuple[str, float]]]]:
+def is_read(c: str) -> bool:
+    """Whether the channel may have written a letter as ``c``; all other characters are dropped."""
+    return c.isalpha() or c in LOOK_ALIKE or c in MASKS
+
+
+#: What a run may stand for: the letters that each place may be (None: any), and the channel's cost.
+Reading = tuple[list[str | None], float]
+
+
+def _readings(text: str) -> Iterator[list[Reading]]:
     """For each run of one character: what it may stand for, with costs."""
     i = 0
     while i < len(text):
-        c, j = text[i], i + 1
+        c, start, j = text[i], i, i + 1
         while j < len(text) and text[j] == c:
             j += 1
         n, i = j - i, j
         if c.isalpha():
-            if n > 2:
-                yield c, [(c, STRETCH_COST), (c * 2, STRETCH_COST)]
-            else:
-                yield c, [(c * n, 0.0)]
+            yield [([c], STRETCH_COST), ([c] * 2, STRETCH_COST)] if n > 2 else [([c] * n, 0.0)]
         elif c in LOOK_ALIKE:
-            options = [(x * min(n, 2), SIGN_COST * min(n, 2)) for x in LOOK_ALIKE[c]]
-            if n > 1:
-                options += [(x, SIGN_COST + STRETCH_COST) for x in LOOK_ALIKE[c]]
-            yield c, options
+            options: list[Reading] = [([LOOK_ALIKE[c]] * n, SIGN_COST * n)]
+            for k in range(1, min(n, 3)):
+                options += [([x] * k, SIGN_COST * k + STRETCH_COST) for x in LOOK_ALIKE[c]]
+            if c in PUNCTUATION and (start == 0 or j == len(text)):
+                options.append(([], DROP_COST))
+            yield options
         elif c in MASKS:
-            yield c, [("*" * min(n, 3), MASK_COST * min(n, 3)), ("", DROP_COST + 1.0)]
+            yield [([None] * n, MASK_COST * n), ([], (DROP_COST + 1.0) * n)]
         else:
-            yield c, [("", DROP_COST)]
+            yield [([], DROP_COST)]
 
 
 def restore(text: str, model: CharModel, words: bool = False) -> str:
     """The most likely sent text; with ``words`` it may fall into several words."""
-    cost = model.cost
+    runs = list(_readings(text))
+    # every path without masked letters bounds the best path
+    found = _search([[r for r in readings if None not in r[0]] for readings in runs], model, words)
+    if any(None in places for readings in runs for places, _ in readings):
+        found = _search(runs, model, words, found[0], MANY) or (0.0, _search_array(runs, model, words))
+    return found[1].strip()
+
+
+def _search(
+    runs: list[list[Reading]], model: CharModel, words: bool, bound: float = math.inf, most: float = math.inf
+) -> tuple[float, str] | None:
+    """Cost and text of the best path, or None beyond ``most`` states.
+
+    States are left out only if they cannot be part of a path within ``bound``:
+    the rest of the text costs at least its channel and the least costs of its letters.
+    """
+    cost, least = model.cost, model.least
+    codes = {x: [model.code(c) for c in x] for readings in runs for places, _ in readings for x in places if x}
+    lowest = {None: float(least[2:].min())} | {x: min(float(least[c]) for c in found) for x, found in codes.items()}
+    rest = [0.0]
+    for readings in reversed(runs):
+        rest.append(rest[-1] + min(channel + sum(lowest[x] for x in places) for places, channel in readings))
+    rest.reverse()
+    bound += 1e-6
     start = (BORDER,) * (ORDER - 1)
-    beam: dict[tuple, tuple[float, str]] = {start: (0.0, "")}
-
-    def extend(options: dict, state: tuple, total: float, out: str, letter: str) -> None:
-        code = model.code(letter)
-        total += float(cost[(*state, code)])
-        after = (*state[1:], code)
-        if after not in options or total < options[after][0]:
-            options[after] = (total, out + letter)
-
-    for _, readings in _readings(text):
+    layer: dict[tuple, tuple[float, str]] = {start: (0.0, "")}
+    for number, readings in enumerate(runs):
         options: dict[tuple, tuple[float, str]] = {}
-        for string, channel in readings:
-            layer = {s: (t + channel, o) for s, (t, o) in beam.items()}
-            for letter in string:
+        for places, channel in readings:
+            now = {s: (t + channel, o) for s, (t, o) in layer.items()}
+            left = rest[number + 1] + sum(lowest[x] for x in places)
+            for letters in places:
                 after: dict[tuple, tuple[float, str]] = {}
-                for state, (total, out) in layer.items():
-                    for x in model.letters if letter == "*" else letter:
-                        extend(after, state, total, out, x)
-                layer = after
-            for state, best in layer.items():
+                here, left = bound - left, left - lowest[letters]
+                for state, (total, out) in now.items():
+                    if total > here:
+                        continue
+                    row = cost[state]
+                    if letters is None:
+                        near = np.flatnonzero(row[2:] <= bound - left - total)
+                        steps = [(i + 2, model.letters[i]) for i in near.tolist()]
+                    else:
+                        steps = zip(codes[letters], letters)
+                    for code, x in steps:
+                        t, to = total + float(row[code]), (*state[1:], code)
+                        if to not in after or t < after[to][0]:
+                            after[to] = (t, out + x)
+                now = after
+                if len(now) > most:
+                    return None
+            for state, best in now.items():
                 if state not in options or best[0] < options[state][0]:
                     options[state] = best
         if words:
@@ -115,6 +158,64 @@ def restore(text: str, model: CharModel, words: bool = False) -> str:
                 total += float(cost[(*state, BORDER)]) + BREAK_COST
                 if state != start and (start not in options or total < options[start][0]):
                     options[start] = (total, out + " ")
-        beam = dict(sorted(options.items(), key=lambda x: x[1][0])[:BEAM]) if len(options) > BEAM else options
-    ends = ((t + float(cost[(*s, BORDER)]) if s != start else t, o) for s, (t, o) in beam.items())
-    return min(ends, default=(math.inf, ""))[1].strip()
+        layer = options
+        if len(layer) > most:
+            return None
+    ends = ((t + float(cost[(*s, BORDER)]) if s != start else t, o) for s, (t, o) in layer.items())
+    return min(ends, default=(math.inf, ""))
+
+
+def _search_array(runs: list[list[Reading]], model: CharModel, words: bool) -> str:
+    """Text of the best path; the totals of all states are one array over the last three symbols."""
+    size, cost = model.size, model.cost
+    shape = (size,) * (ORDER - 1)
+    start = (BORDER,) * (ORDER - 1)
+    any_code = np.arange(2, size)
+    # ends[state]: where a word ends after this state; a text may be empty
+    ends = cost[..., BORDER].astype(np.float64)
+    ends[start] = 0.0
+    layer = np.full(shape, np.inf)
+    layer[start] = 0.0
+    # how each layer was reached: for each run, the steps of its readings, the reading taken, the state before a break
+    trail: list[tuple[list[list[tuple[np.ndarray, str | None]]], np.ndarray, tuple | None]] = []
+    for readings in runs:
+        best, taken, all_steps = np.full(shape, np.inf), np.zeros(shape, np.int16), []
+        for number, (places, channel) in enumerate(readings):
+            now, steps = layer + channel, []
+            for letters in places:
+                codes = any_code if letters is None else np.unique([model.code(x) for x in letters])
+                after, first = np.full(shape, np.inf), np.zeros(shape, np.int16)
+                least, source = np.full((size, size, len(codes)), np.inf), np.zeros((size, size, len(codes)), np.int16)
+                for a in np.flatnonzero(np.isfinite(now).any(axis=(1, 2))).tolist():
+                    total = now[a][:, :, None] + cost[a][:, :, codes]
+                    better = total < least
+                    np.copyto(least, total, where=better)
+                    source[better] = a
+                after[:, :, codes], first[:, :, codes] = least, source
+                now = after
+                steps.append((first, letters))
+            better = now < best
+            np.copyto(best, now, where=better)
+            taken[better] = number
+            all_steps.append(steps)
+        broken = None
+        if words:
+            total = best + cost[..., BORDER] + BREAK_COST
+            total[start] = np.inf
+            at = np.unravel_index(int(total.argmin()), shape)
+            if total[at] < best[start]:
+                broken, best[start] = tuple(map(int, at)), total[at]
+        trail.append((all_steps, taken, broken))
+        layer = best
+    total = layer + ends
+    state = tuple(map(int, np.unravel_index(int(total.argmin()), shape)))
+    out: list[str] = []
+    for all_steps, taken, broken in reversed(trail):
+        if broken is not None and state == start:
+            out.append(" ")
+            state = broken
+        for first, letters in reversed(all_steps[taken[state]]):
+            code = state[-1]
+            out.append(model.letters[code - 2] if letters is None else next(x for x in letters if model.code(x) == code))
+            state = (int(first[state]), *state[:-1])
+    return "".join(reversed(out))

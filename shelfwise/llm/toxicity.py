@@ -152,10 +152,9 @@ def char_model(df: DataFrame, text: str = "text") -> CharModel:
         yield [list(counts), list(counts.values())]
 
     found = map_text(words, letters, "letter string, n bigint").groupBy("letter").agg(F.sum("n").alias("n"))
-    top = found.orderBy(F.desc("n"), "letter").limit(LETTERS * 4).collect()
-    basic = "abcdefghijklmnopqrstuvwxyz"
-    others = [r["letter"] for r in top if r["letter"].isalpha() and r["letter"] not in basic]
-    chosen = [*basic, *others][:LETTERS]
+    counted = [r["letter"] for r in found.orderBy(F.desc("n"), "letter").collect() if r["letter"].isalpha()]
+    # the most frequent letters of any script; a small corpus is filled up with basic ones
+    chosen = list(dict.fromkeys([*counted, *"abcdefghijklmnopqrstuvwxyz"]))[:LETTERS]
     known = frozenset(chosen)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:

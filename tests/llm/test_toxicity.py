@@ -110,3 +110,42 @@ def test_odd_rows(spark, make):
 def test_empty_tables(spark, make):
     assert t.toxicity(make([]), table(spark, [])).collect() == []
     assert [r["predicted"] for r in t.toxicity(make([(1, "some text")]), table(spark, [])).collect()] == [0]
+
+
+def brute(text, model):
+    """Least cost over all sent words, each path's cost added up letter by letter."""
+    import itertools
+
+    from shelfwise.llm import deobfuscation as d
+
+    best = math.inf, ""
+    for path in itertools.product(*d._readings(text)):
+        channel = sum(c for _, c in path)
+        for letters in itertools.product(*[x or model.letters for places, _ in path for x in places]):
+            codes = [0, 0, 0, *map(model.code, letters)]
+            total = channel + sum(float(model.cost[tuple(codes[i : i + 4])]) for i in range(len(letters)))
+            total += float(model.cost[(*codes[-3:], 0)]) if letters else 0
+            best = min(best, (total, "".join(letters)))
+    return best[1]
+
+
+@pytest.mark.parametrize("seen", ["m*r*n", "m**n", "sc*m", "*d10*", "1*1", "11", "111d", "s*!", "$$*m", "***"])
+def test_masked_words_against_all_paths(seen):
+    assert restore(seen, MODEL) == brute(seen, MODEL)
+
+
+def test_runs_of_masks_are_as_long_as_the_run():
+    assert restore("s****d", MODEL) == "stupid" and restore("m***n", MODEL) == "moron"
+
+
+def test_both_searches_agree():
+    from shelfwise.llm import deobfuscation as d
+
+    for text in ("1d10t", "$cum", "i.d.i.o.t", "stuuupid", "t h e i d 1 o t", "m0r0n 1d", "m**n", "id*ot!", "t h * i d*"):
+        for spaced in (False, True):
+            assert restore(text, MODEL, spaced) == d._search_array(list(d._readings(text)), MODEL, spaced).strip()
+
+
+def test_alphabet_is_that_of_the_corpus(spark, make):
+    model = t.char_model(make([(i, "идиот дурак привет мир абвгдежзийклмнопрстуфхцчшщъыьэюя") for i in range(20)]))
+    assert restore("ид*от", model) == "идиот"
