@@ -1,8 +1,10 @@
 """Toxicity scores of deobfuscated texts.
 
 A character language model is counted over the words of all documents. In each
-text the places that look disguised are found (signs inside words, single letters
-in a row, letters three times or more) and restored by the noisy-channel decoder.
+text the places that may be disguised are found (every token that mixes letters with
+signs, characters that stand alone, letters three times or more) and restored by the
+noisy-channel decoder; it decides whether a sign is a letter. Tokens without any
+letter are not read.
 The restored words and their first letters are the features of a logistic
 regression, fitted on a bounded sample of the labelled rows.
 """
@@ -10,6 +12,7 @@ regression, fitted on a bounded sample of the labelled rows.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import Sent, labelled_sample, map_text, materialize, prepare, string_type
-from shelfwise.llm.deobfuscation import LETTERS, LOOK_ALIKE, MASKS, CharModel, restore, word_grams
+from shelfwise.llm.deobfuscation import LETTERS, CharModel, is_read, restore, word_grams
 from shelfwise.llm.shingles import mix
 
 #: Labelled rows the classifier is fitted on, at most, and features it keeps.
@@ -33,52 +36,66 @@ BUCKET_BITS = 24
 #: Characters restored as one piece, at most; longer places go in pieces that overlap by half.
 PIECE = 40
 
-_SINGLES = re.compile(rb"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
-_IN_WORD = np.isin(np.arange(256), [ord(c) for c in {*LOOK_ALIKE, *MASKS, *".-_~^`"} if ord(c) < 128])
-_LEADING = np.isin(np.arange(256), [ord(c) for c in "@$013457|"])
-_LETTER = np.array([97 <= c <= 122 or c >= 128 for c in range(256)])
+_TOKEN = re.compile(r"\S+")
+#: One character that stands alone, signs around it allowed.
+_SINGLE = re.compile(r"[^\w\s]*\w[^\w\s]*|[^\w\s]")
+_STRETCHED = re.compile(r"([^\W\d_])\1\1")
+#: Kinds of tokens: bit 0 is set for disguised ones, bit 1 for single characters.
+_DISGUISED, _SPACED = re.compile(rb"[\1\3]"), re.compile(rb"[\2\3]{3,}")
 _FOLD = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _random = np.random.default_rng(11)
 _BYTES = _random.integers(1, 2**63, 256, np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 
 
-def _tokens(raw: bytes, places: np.ndarray) -> Iterator[tuple[int, int]]:
-    """White-space tokens that hold any of the places, in order."""
-    end = -1
-    for at in places.tolist():
-        if at >= end:
-            start = max(raw.rfind(b, 0, at) for b in (b" ", b"\n", b"\t")) + 1
-            ends = [e for b in (b" ", b"\n", b"\t") if (e := raw.find(b, at)) >= 0]
-            end = min(ends, default=len(raw))
-            yield start, end
+def _core(token: str) -> str:
+    """The token without the characters at its ends that the decoder can only drop."""
+    a, b = 0, len(token)
+    while a < b and not is_read(token[a]):
+        a += 1
+    while b > a and not is_read(token[b - 1]):
+        b -= 1
+    return token[a:b]
+
+
+def is_disguised(token: str) -> bool:
+    """Whether a token mixes letters with any sign, or has a letter three times or more in a row.
+
+    Signs at the ends that can only be dropped do not count, nor do combining marks.
+    """
+    core = token if token.isalpha() else _core(token)
+    if core.isalpha():
+        return _STRETCHED.search(core) is not None
+    signs = any(not c.isalpha() and unicodedata.category(c)[0] != "M" for c in core)
+    return any(c.isalpha() for c in core) and (signs or _STRETCHED.search(core) is not None)
+
+
+def _places(tokens: list[str], seen: dict[str, int]) -> list[tuple[int, int, bool]]:
+    """Places as numbers of tokens, as ``disguised`` has them in bytes; ``seen`` keeps the kinds of tokens."""
+    if len(seen) > 200_000:
+        seen.clear()
+    for token in set(tokens).difference(seen):
+        seen[token] = is_disguised(token) + 2 * bool(_SINGLE.fullmatch(token))
+    kinds = bytes(map(seen.__getitem__, tokens))
+    found = [(*m.span(), False) for m in _DISGUISED.finditer(kinds)]
+    return found + [(*m.span(), True) for m in _SPACED.finditer(kinds)]
 
 
 def disguised(raw: bytes) -> list[tuple[int, int, bool]]:
     """Places of a lower-case text in UTF-8 that need restoring: start, end, whether they are spaced letters."""
-    chars = np.frombuffer(b" " + raw + b"  ", np.uint8)
-    letter, blank = _LETTER[chars], chars <= 32
-    edges = np.diff(_IN_WORD[chars].view(np.int8), append=0)
-    starts, ends = np.flatnonzero(edges == 1) + 1, np.flatnonzero(edges == -1) + 1  # runs of signs
-    before, after = letter[starts - 1], letter[ends]
-    leading = blank[starts - 1] & after & _LEADING[chars[starts]] & (ends - starts <= 2)
-    dollar = ord("$")
-    trailing = before & ~after & (chars[starts] == dollar) & (chars[ends - 1] == dollar) & (ends - starts <= 2)
-    places = starts[(before & after) | leading | trailing] - 1
-    same = (chars[2:] == chars[1:-1]) & (chars[1:-1] == chars[:-2]) & (chars[2:] >= 97) & (chars[2:] <= 122)
-    places = np.union1d(places, np.flatnonzero(same) - 1)
-    found = [(a, b, False) for a, b in _tokens(raw, places)]
-    if (blank[:-4] & ~blank[1:-3] & blank[2:-2] & ~blank[3:-1] & blank[4:]).any():
-        found += [(*m.span(), True) for m in _SINGLES.finditer(raw)]
-    return found
-
-
-def restore_text(text: str, model: CharModel, known: dict) -> str:
+    text = raw.decode("utf-8", "surrogatepass")
+    at = lambda i: len(text[:i].encode("utf-8", "surrogatepass"))
+    spans = [m.span() for m in _TOKEN.finditer(text)]
+    return [(at(spans[a][0]), at(spans[b - 1][1]), spaced) for a, b, spaced in _places(text.split(), {})]
+
+
+def restore_text(text: str, model: CharModel, known: dict, seen: dict[str, int] | None = None) -> str:
     """The restored words of the disguised places of a lower-case text, joined by blanks."""
-    out = []
-    raw = text.encode("utf-8", "surrogatepass")
-    for a, b, spaced in disguised(raw):
-        place = raw[a:b].decode("utf-8", "replace").strip(".,;:?\"'()[]{}<>&%*#" if not spaced else " ").rstrip("!")
+    out = {}
+    tokens = text.split()
+    places = [(" ".join(tokens[a:b]), spaced) for a, b, spaced in _places(tokens, {} if seen is None else seen)]
+    for place, spaced in dict.fromkeys(places):
+        place = _core(place)
         step = PIECE if len(place) <= PIECE else PIECE // 2
         for i in range(0, max(len(place) - (PIECE - step), 1), step):
             piece = place[i : i + PIECE]
@@ -88,7 +105,7 @@ def restore_text(text: str, model: CharModel, known: dict) -> str:
                 if len(known) >= 50_000:
                     known.clear()
                 known[piece, spaced] = restore(piece, model, spaced)
-            out.append(known[piece, spaced])
+            out[known[piece, spaced]] = None
     return " ".join(out)
 
 
@@ -177,11 +194,12 @@ def held_out(key: str = "doc_id") -> Column:
 def _features(sent: Sent):
     """Features of the texts of a batch, with the words restored in them."""
     known: dict = {}
+    seen: dict[str, int] = {}
 
     def of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         model = sent.made(_as_is)
         lower = [(t or "").lower() for t in texts]
-        return word_features([f"{t} {restore_text(t, model, known)}" if t else "" for t in lower])
+        return word_features([f"{t} {restore_text(t, model, known, seen)}" if t else "" for t in lower])
 
     return of
 

@@ -112,6 +112,24 @@ def test_empty_tables(spark, make):
     assert [r["predicted"] for r in t.toxicity(make([(1, "some text")]), table(spark, [])).collect()] == [0]
 
 
+@pytest.mark.parametrize(
+    "seen",
+    ["worthle55", "a55", "!diot", "(lown", "+rash", "*diot", '"$cum"', "f€ck", "f£ock", "i d i o t", "i\nd\ni\no\nt", "i \t d  i o t", "é t é", '"i d i o t."', "moron!", "i'd'i'o't"],
+)
+def test_more_places_of_disguise(seen):
+    raw = f"so {seen} there".encode()
+    assert seen in {raw[a:b].decode() for a, b, _ in t.disguised(raw)}
+    assert not t.disguised("so 12 'fine' words, हिन्दी, there.".encode())
+
+
+@pytest.mark.parametrize(
+    ("seen", "sent"),
+    [("!diot", "idiot"), ("*diot", "idiot"), ('"$cum"', "scum"), ("m\no\nr\no\nn", "moron"), ("(moron)", "moron"), ("moron!", "moron"), ("$tup1d!!", "stupid")],
+)
+def test_restored_places(seen, sent):
+    assert sent in t.restore_text(f"so {seen} there", MODEL, {}).split()
+
+
 def brute(text, model):
     """Least cost over all sent words, each path's cost added up letter by letter."""
     import itertools
