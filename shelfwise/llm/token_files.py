@@ -9,6 +9,7 @@ stripes that the statistics and filters leave.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -44,13 +45,15 @@ class PieceTokenizer:
     """A byte-level tokenizer that is asked for each distinct piece once.
 
     Its merges never cross the pieces of the splitting pattern, so the ids of a
-    text are those of its pieces. Special tokens in a text are ordinary text.
+    text are those of its pieces. Texts that hold an added token, which is found
+    before the text is split, are encoded whole.
     """
 
     def __init__(self, json_text: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task on a core
         self.tokenizer = Tokenizer.from_str(json_text)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE).search if added else lambda text: None
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         # The same pieces on texts of ASCII and Latin-1 letters, for the faster ``re``.
         self.plain_split = plain_splitter()
@@ -58,7 +61,10 @@ class PieceTokenizer:
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        split = [(self.plain_split if is_plain(t) else self.split)(t) if t else [] for t in texts]
+        whole = {t: b"" for t in texts if t and self.added(t)}
+        for t in whole:
+            whole[t] = array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes()
+        split = [(self.plain_split if is_plain(t) else self.split)(t) if t and t not in whole else [] for t in texts]
         new: set[str] = set()
         for pieces in split:
             new.update(pieces)
@@ -71,7 +77,7 @@ class PieceTokenizer:
             order = list(new)
             for piece, found in zip(order, self.tokenizer.encode_batch_fast(order, add_special_tokens=False)):
                 once[piece] = array("I", found.ids).tobytes()
-        out = [b"".join(map(once.__getitem__, pieces)) for pieces in split]
+        out = [whole[t] if t in whole else b"".join(map(once.__getitem__, pieces)) for t, pieces in zip(texts, split)]
         for piece in new:
             if len(piece) > KEPT_CHARS:
                 del once[piece]

@@ -46,3 +46,16 @@ def test_stripes_and_look_up(spark, small, small_rows, tmp_path):
     assert "EqualTo(doc_id,7)" in found._jdf.queryExecution().toString()
     assert found.first()["ids"][:-1] == TRUTH.encode(dict(small_rows)[7], add_special_tokens=False).ids
     assert b"doc_id" in names[0].read_bytes()
+
+
+def test_added_tokens_are_those_of_the_untouched_library(make):
+    """Unlike TRUTH, this tokenizer has the library's own settings."""
+    untouched = Tokenizer.from_file(token_files.TOKENIZER_FILE)
+    rows = [(1, "plain"), (2, "a <|endoftext|> b"), (3, "<|endoftext|>"), (4, "it's <|endoftext|>  ñ 語 12"), (5, "after")]
+    want, start = [], 0
+    for i, t in rows:
+        ids = [*untouched.encode(t, add_special_tokens=False).ids, 0]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert want[1][2] == 5
+    assert sorted(map(tuple, token_files.token_files(make(rows)).collect())) == want
