@@ -1,6 +1,7 @@
 """Secrets in texts: candidates sifted by a random forest.
 
-Candidates are long runs of key characters that hold a digit. The forest reads
+Candidates are long runs of key characters that hold a digit, tokens joined by dots,
+and every value that is assigned to a secret's name. The forest reads
 their length, character transitions, coverage by dictionary words, the path they
 stand in and the words around them, and removes what only looks like a secret.
 It is trained by Spark's own library on labelled findings.
@@ -38,6 +39,15 @@ _DIGIT = np.isin(np.arange(256), list(b"0123456789"))
 SECRET_WORDS = ("token", "secret", "key", "apikey", "password", "passwd", "auth", "bearer", "credential", "private")
 OTHER_WORDS = ("commit", "sha", "hash", "checksum", "digest", "id", "uuid", "version", "order", "card", "isbn", "phone", "example")
 _ASSIGNED = re.compile(r"[:=]\s*[\"'`]?$")
+_NAME = re.compile(r"[A-Za-z_][\w-]*$", re.ASCII)
+#: A value after a secret's name: in quotes as it stands, else up to white space or a quote.
+_VALUE = re.compile(
+    rf"(?:(?:{'|'.join(SECRET_WORDS)})[\w-]{{0,40}}[\"'`]?\s*(?::=|=>|[:=])\s*(?:bearer\s+)?|\bbearer\s+)"
+    r"(?:\"([^\"\n]+)\"|'([^'\n]+)'|`([^`\n]+)`|([^\s\"'`]+))",
+    re.IGNORECASE,
+)
+#: Tokens joined by dots; what follows an at-sign is the host of an address.
+_DOTTED = re.compile(r"(?<![A-Za-z0-9+/=_.@-])[A-Za-z0-9+/=_-]+(?:\.[A-Za-z0-9+/=_-]+)+")
 NAMES = (
     "length", "digits", "upper", "lower", "signs", "entropy", "distinct", "hex", "longest_digits", "longest_letters",
     "to_digit", "to_letter", "case_changes", "vowels", "dictionary", "slashes", "dashes", "equals_end", "in_path",
@@ -54,6 +64,37 @@ def candidate_spans(raw: bytes) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(starts[long].tolist(), ends[long].tolist()) if _DIGIT[chars[a:b]].any()]
 
 
+def _value_start(run: str) -> int:
+    """Where the value of a run NAME=value starts; 0 without a name. Padding at the end is no assignment."""
+    at = run.find("=")
+    return at + 1 if at > 0 and run[at + 1 : at + 2] not in ("", "=") and _NAME.search(run[:at]) else 0
+
+
+def proposed_spans(text: str) -> list[tuple[int, int]]:
+    """Candidates of a text in code points, in order: runs without their names, dotted tokens, assigned values."""
+    raw = text.encode("utf-8", "surrogatepass")
+    found, at, place = set(), 0, 0
+    for a, b in candidate_spans(raw):
+        place += len(raw[at:a].decode("utf-8", "surrogatepass"))
+        at = a
+        found.add((place + _value_start(text[place : place + b - a]), place + b - a))
+    for m in _DOTTED.finditer(text):
+        start = m.start() + _value_start(m[0])
+        if m.end() - start >= MIN_LENGTH:
+            found.add((start, m.end()))
+    from_ = 0
+    while m := _VALUE.search(text, from_):
+        a, b = m.span(m.lastindex)
+        from_ = b
+        if m.lastindex == 4:
+            b = a + len(text[a:b].rstrip(",;.)]}>"))
+            if m.start() and "&" in text[a:b] and re.search(r"[?&][\w.-]{0,80}$", text[max(0, m.start() - 81) : m.start()]):
+                from_ = b = text.index("&", a)  # a query string: the next parameter may be a secret too
+        if b > a:
+            found.add((a, b))
+    return sorted(found)
+
+
 def build_dictionary(words: list[str]) -> ahocorasick.Automaton:
     """Automaton of dictionary words, in lower case."""
     found = ahocorasick.Automaton()
@@ -119,6 +160,8 @@ def generated_findings(n: int, words: list[str]) -> list[tuple[str, str, str, in
     secret = (
         lambda: text(hexa, r.choice([32, 40, 64])), lambda: text(base, r.randrange(24, 64)), lambda: "AKIA" + text(base[:26] + base[52:], 16),
         lambda: "ghp_" + text(base, 36), lambda: "sk-" + text(base, 48), lambda: text(base + "+/", 40) + r.choice(["", "=", "=="]),
+        lambda: text(base + "!&.$%-_", r.randrange(8, 16)), lambda: text(base[:52], r.randrange(16, 40)),
+        lambda: ".".join(["eyJ" + text(base, 30), "eyJ" + text(base, 60), text(base + "-_", 43)]),
     )
     other = (
         lambda: text("0123456789", r.randrange(16, 24)), lambda: "-".join(text(hexa, k) for k in (8, 4, 4, 4, 12)),
@@ -150,14 +193,10 @@ def candidates(df: DataFrame, dictionary: Sent, key: str, text: str) -> DataFram
             for name, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if not t:
                     continue
-                raw = t.encode("utf-8", "surrogatepass")
-                at, place = 0, 0
-                for a, b in candidate_spans(raw):
-                    place += len(raw[at:a].decode("utf-8", "surrogatepass"))
-                    at = a
-                    found = raw[a:b].decode("ascii")
-                    before, after = t[max(0, place - AROUND) : place], t[place + b - a : place + b - a + AROUND]
-                    rows.append((name, place, place + b - a, hashlib.sha256(raw[a:b]).hexdigest(), label_rule(found, before), features(found, before, after, words)))
+                for a, b in proposed_spans(t):
+                    value, before, after = t[a:b], t[max(0, a - AROUND) : a], t[b : b + AROUND]
+                    sha = hashlib.sha256(value.encode("utf-8", "surrogatepass")).hexdigest()
+                    rows.append((name, a, b, sha, label_rule(value, before), features(value, before, after, words)))
             yield [list(c) for c in zip(*rows)] if rows else [[] for _ in range(6)]
 
     docs = df.select(F.col(f"`{key}`").cast("string"), *string_type(df, [text]))
