@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import (
     byte_bpe,
+    centroids,
     decontamination,
     line_quality,
     near_duplicates,
     pii,
     secret_scan,
     sharding,
+    sql,
     token_files,
     toxicity,
     warc,
@@ -64,6 +66,10 @@ def _op10(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(read_table(spark, folder, "documents"))
 
 
+def _op11(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.clusters(read_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     """One query for each operator."""
     return {
@@ -77,9 +83,10 @@ def queries() -> dict[str, Query]:
         "op8_secret_scan": _op8,
         "op9_warc_derivatives": _op9,
         "op10_token_files": _op10,
+        "op11_centroid_clusters": _op11,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL twins for DuckDB, where SQL can express the operator."""
-    return {}
+    return {"op11_centroid_clusters": sql.clusters()}
