@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import (
+    alignment,
     byte_bpe,
     centroids,
     decontamination,
@@ -70,6 +71,10 @@ def _op11(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.clusters(read_table(spark, folder, "embeddings"))
 
 
+def _op12(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment(read_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     """One query for each operator."""
     return {
@@ -84,6 +89,7 @@ def queries() -> dict[str, Query]:
         "op9_warc_derivatives": _op9,
         "op10_token_files": _op10,
         "op11_centroid_clusters": _op11,
+        "op12_token_alignment": _op12,
     }
 
 
