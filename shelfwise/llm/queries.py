@@ -11,6 +11,7 @@ from shelfwise.llm import (
     byte_bpe,
     centroids,
     decontamination,
+    html_extraction,
     line_quality,
     near_duplicates,
     pii,
@@ -75,6 +76,10 @@ def _op12(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.alignment(read_table(spark, folder, "documents"))
 
 
+def _op13(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extract(read_table(spark, folder, "pages"))
+
+
 def queries() -> dict[str, Query]:
     """One query for each operator."""
     return {
@@ -90,6 +95,7 @@ def queries() -> dict[str, Query]:
         "op10_token_files": _op10,
         "op11_centroid_clusters": _op11,
         "op12_token_alignment": _op12,
+        "op13_html_extraction": _op13,
     }
 
 
