@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.joins import salted_join
-from shelfwise.operators.quantiles import long_values, quantiles_of_counts, value_counts_long
-from shelfwise.session import materialize
+from shelfwise.operators.quantiles import long_values, quantile_columns, value_counts_long
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30, by: Sequence[str] = ()) -> DataFrame:
@@ -133,25 +132,24 @@ def _kernel_sums(keys: list[str], grid: int):
 def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Quartiles, whiskers within 1.5 interquartile ranges, and outlier count.
 
-    Building the plan writes the value counts and their ranges to the shared folder.
+    One plan of three scans: two for the quartiles, one for what lies inside the fences.
     """
-    counts = materialize(value_counts_long(df, cols, by), "values")
     keys, names = [*by, "column"], ("q1", "median", "q3")
-    quartiles = quantiles_of_counts(counts, (0.25, 0.5, 0.75), names, by).drop("n")
+    quartiles = quantile_columns(df, cols, (0.25, 0.5, 0.75), names, by).drop("n")
     reach = (F.col("q3") - F.col("q1")) * 1.5
     fences = quartiles.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach})
     # Without groups there is one row per column. With groups their number has
     # no bound and one may hold most values.
     if by:
-        fenced = salted_join(counts, fences, keys, ["value"], "inner")
+        fenced = salted_join(long_values(df, cols, by), fences, keys, ["value"], "inner")
     else:
-        fenced = counts.join(F.broadcast(fences), keys)
+        fenced = long_values(df, cols).join(F.broadcast(fences), keys)
     inside = F.col("value").between(F.col("low"), F.col("high"))
     stats = fenced.groupBy(*keys, *names).agg(
         F.min(F.when(inside, F.col("value"))).alias("first"),
         F.max(F.when(inside, F.col("value"))).alias("last"),
-        F.sum("rows").alias("n"),
-        F.sum(F.when(inside, 0).otherwise(F.col("rows"))).alias("outliers"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(~inside).alias("outliers"),
     )
     # A whisker never ends inside the box.
     return stats.select(

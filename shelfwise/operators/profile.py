@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
-from shelfwise.operators.quantiles import long_values, quantile_columns
+from shelfwise.operators.quantiles import quantile_columns
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -66,18 +66,10 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, deviation, minimum, quartiles and maximum: one row per column."""
     cols = list(cols or numeric_columns(df))
+    moments = {"mean": "avg(value)", "std": "stddev_samp(value)", "min": "min(value)", "max": "max(value)"}
     names = ("q25", "q50", "q75")
-    quartiles = quantile_columns(df, cols, (0.25, 0.5, 0.75), names).drop("n")
-    moments = long_values(df, cols).groupBy("column").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    return moments.join(F.broadcast(quartiles), "column").select(
-        "column", "count", "mean", "std", "min", *names, "max"
-    )
+    found = quantile_columns(df, cols, (0.25, 0.5, 0.75), names, extra=moments)
+    return found.withColumnRenamed("n", "count").select("column", "count", "mean", "std", "min", *names, "max")
 
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:

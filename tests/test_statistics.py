@@ -11,7 +11,13 @@ from shelfwise.operators.inference import (
     welch_of_groups,
     welch_test,
 )
+from shelfwise.operators.profile import describe
 from shelfwise.operators.quantiles import (
+    REACH,
+    _brackets,
+    _cells,
+    _selected,
+    long_values,
     quantile_columns,
     quantiles,
     quantiles_of_counts,
@@ -74,6 +80,73 @@ def test_quantile_forms(df, sample):
     assert abs((sample.a <= rough.m).mean() - 0.5) < 0.01
 
 
+def scans(df):
+    """Scans of files in the plan that ran, those of reused exchanges left out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count("FileScan parquet")
+
+
+def test_brackets_of_large_columns(spark, tmp_path):
+    """More rows than a sketch keeps: heavy ties, sorted input, wide ranges, infinities; two scans and no sort of all."""
+    rows = spark.range(0, 300_000, 1, 6).selectExpr(
+        "CAST(id % 3 AS STRING) AS g",
+        "CAST(id AS DOUBLE) AS up",
+        "CAST(-id AS DOUBLE) AS down",
+        "CASE WHEN id % 10 < 4 THEN 7D ELSE CAST(hash(id) AS DOUBLE) END AS ties",
+        "pow(10D, (hash(id, 1) % 300)) AS wide",
+        "CASE WHEN id % 5 = 0 THEN double('infinity') WHEN id % 7 = 0 THEN null ELSE CAST(id % 1000 AS DOUBLE) END AS ends",
+        "CASE WHEN id % 2 = 0 THEN id ELSE 300000 - id END % 4099 * 1D AS zigzag",
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    cols = ["up", "down", "ties", "wide", "ends", "zigzag"]
+    ps = (0.0, 0.0001, 0.3, 0.4, 0.5, 0.9999, 1.0)
+    names = [f"q{i}" for i in range(len(ps))]
+    found = quantile_columns(df, cols, ps, names)
+    got, frame = as_dict(found.collect(), names), df.toPandas()
+    for c in cols:
+        want = np.sort(frame[c].dropna().to_numpy())
+        for p, value in zip(ps, got[c], strict=True):
+            at = (len(want) - 1) * p
+            low, high = want[int(np.floor(at))], want[int(np.ceil(at))]
+            assert value == (low if low == high else pytest.approx(low + (high - low) * (at - np.floor(at)), rel=1e-12)), (c, p)
+    assert scans(found) == 1  # the other was run for the brackets
+    grouped = quantile_columns(df, ["ties"], (0.2, 0.5), ("a", "b"), ["g"]).collect()
+    want = frame.groupby("g").ties.quantile([0.2, 0.5]).unstack()
+    assert {r.g: [r.a, r.b] for r in grouped} == {g: pytest.approx(want.loc[g].tolist()) for g in "012"}
+
+
+def test_few_values_are_counted_one_by_one(spark):
+    """Only a small share of the values leaves the tasks."""
+    df = spark.range(0, 400_000, 1, 8).selectExpr("CAST(hash(id) AS DOUBLE) AS a")
+    ps, names = (0.25, 0.5, 0.75), ("x", "y", "z")
+    marks = _brackets(df, ["a"], ps, [], {})
+    cells = _cells(long_values(df, ["a"]), marks, ["column"], ps, [])
+    assert cells.count() < 400_000 * 3 * 2.5 * REACH
+
+
+def test_description_reads_its_rows_twice(spark, tmp_path):
+    spark.range(0, 50_000, 1, 4).selectExpr("CAST(hash(id) AS DOUBLE) AS a", "id AS b").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    found = describe(df)
+    assert scans(found) == 1  # and once for brackets and moments
+    frame = df.toPandas()
+    for r in found.collect():
+        v = frame[r["column"]]
+        want = [len(v), v.mean(), v.std(), v.min(), *v.quantile([0.25, 0.5, 0.75]), v.max()]
+        assert list(r)[1:] == pytest.approx([float(x) for x in want])
+
+
+def test_a_missed_rank_is_noticed(spark):
+    """Brackets that do not hold their rank raise an error, never a wrong value."""
+    df = spark.range(20_000).selectExpr("CAST(id AS DOUBLE) AS a")
+    marks = _brackets(df, ["a"], (0.5,), [], {}).withColumns({"low0": F.lit(3.0), "high0": F.lit(9.0)})
+    cells = _cells(long_values(df, ["a"]), marks, ["column"], (0.5,), [])
+    with pytest.raises(Exception, match="missed a rank"):
+        _selected(cells, ["column"], (0.5,), ("m",)).collect()
+
+
 def test_quantiles_of_few_rows(spark):
     one = spark.createDataFrame([(3.5,)], "a double")
     assert quantile_columns(one, ["a"], (0.0, 0.4, 1.0), "xyz").first()[2:] == (3.5, 3.5, 3.5)
