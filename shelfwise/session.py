@@ -9,11 +9,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
-_scopes: list[str] = []
+#: Scopes of this thread or task, from outside in.
+_scopes: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
 
 
 # Adaptive execution picks broadcast joins from measured shuffle sizes, merges
@@ -82,7 +84,7 @@ def shared_dir(spark: SparkSession) -> str:
             _local_dirs[app] = tempfile.mkdtemp(prefix="shelfwise-")
             atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
         base = _local_dirs[app]
-    return "/".join([base.rstrip("/"), "shelfwise", app, *_scopes])
+    return "/".join([base.rstrip("/"), "shelfwise", app, *_scopes.get()])
 
 
 @contextmanager
@@ -91,12 +93,12 @@ def scratch_scope(spark: SparkSession) -> Iterator[str]:
 
     Results that still read from it must be written or collected before.
     """
-    _scopes.append(f"scope-{uuid.uuid4().hex}")
+    token = _scopes.set((*_scopes.get(), f"scope-{uuid.uuid4().hex}"))
     folder = shared_dir(spark)
     try:
         yield folder
     finally:
-        _scopes.pop()
+        _scopes.reset(token)
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -1,17 +1,21 @@
 """CSV files to typed tables.
 
 A file is scanned as text, types are chosen from one aggregate over all cells,
-and the typed columns are written. Only one row of statistics reaches the driver.
-A file whose rows do not fit its header is refused, not cut.
+and the typed columns are written, with rows and lost cells counted on the way: two
+scans. Only one row of statistics reaches the driver. A file whose rows do not fit
+its header is refused, not cut.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
@@ -25,7 +29,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from shelfwise.sources.tables import read_target, write_table
+from shelfwise.sources import csv_records
+from shelfwise.sources.tables import write_table
 
 # File and table names of the import.
 FILES = {
@@ -125,47 +130,81 @@ def read_csv_raw(spark: SparkSession, path: str, multiline: bool = False) -> Dat
     """All columns as text, first line as header, byte-order mark dropped.
 
     Texts that stand for a missing value are null, and so are the cells that a
-    short row lacks. A row with more cells than the header, or a line break inside
-    quotes where ``multiline`` is not set, raises :class:`MalformedFile`: two
-    aggregates over the file look for them. A ``multiline`` file is not split.
+    short row lacks. A row with more cells than the header raises
+    :class:`MalformedFile`. Line breaks inside quotes need no setting and keep the
+    file split over tasks; ``multiline`` spares the scan that looks for them.
+    """
+    return _survey(spark, path, multiline, statistics=False)[0]
+
+
+def _survey(spark: SparkSession, path: str, multiline: bool, statistics: bool) -> tuple[DataFrame, dict[str, dict]]:
+    """The text columns of a file and, if wanted, the statistics of its cells.
+
+    One scan takes every line for a record, counts what speaks against that, and
+    makes the statistics. Where a cell goes over lines, or a line of data equals the
+    header, records are put together first and scanned instead.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("encoding", "UTF-8")
-    reader = reader.option("multiLine", multiline)
-    names = reader.csv(path).columns
     if not multiline:
-        _refuse_open_quotes(spark, path)
-    raw = normalize_columns(reader.csv(path))
-    fields = [StructField(name, StringType()) for name in [*names, CORRUPT]]
-    whole = reader.schema(StructType(fields)).option("columnNameOfCorruptRecord", CORRUPT)
-    _refuse_extra_cells(whole.option("columnPruning", False).csv(path), len(names))
+        names = reader.csv(path).columns
+        lines = csv_records.read_lines(spark, path).where("length(trim(line)) > 0")
+        first = lines.where("block = 0").select("line").first()
+        header = (F.col("block") == 0) & (F.col("line") == (first[0] if first else ""))
+        cells = _cells(lines.select(header.alias("header"), csv_records.opens().alias("open"), F.col("line").alias("record")), names)
+        counts, stats = _measure(cells, statistics)
+        if not counts["open"] and counts["header"] == len(spark.read.text(path).inputFiles()):
+            _refuse_extra_cells(counts["extra"])
+            return cells.where(f"NOT {FLAGS}.header").drop(FLAGS), stats
+    names = reader.option("multiLine", True).csv(path).columns
+    no = F.lit(False)
+    cells = _cells(csv_records.records(spark, path).select(no.alias("header"), no.alias("open"), "record"), names)
+    counts, stats = _measure(cells, statistics)
+    _refuse_extra_cells(counts["extra"])
+    return cells.drop(FLAGS), stats
+
+
+def _cells(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Cells of records (header, open, record) as text columns, null where missing, and the flags as ``FLAGS``."""
+    shape = ", ".join([*(f"c{i} string" for i in range(len(names))), f"{CORRUPT} string"])
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = rows.select("*", F.when(~F.col("header"), F.from_csv("record", shape, options)).alias("cells"))
+    # Rows that do not fit the schema are kept as text: short ones and those with more cells.
+    extra = F.col(f"cells.{CORRUPT}").isNotNull() & (csv_records.n_cells(F.col("record")) > len(names))
     missing = ", ".join(f"'{text}'" for text in MISSING_TEXTS)
-    known = "CASE WHEN {0} NOT IN ({1}) THEN {0} END AS {0}"
-    return raw.selectExpr(*[known.format(_quoted(c), missing) for c in raw.columns])
+    known = [
+        F.expr(f"CASE WHEN cells.c{i} NOT IN ({missing}) THEN cells.c{i} END").alias(name)
+        for i, name in enumerate(_normalized(names))
+    ]
+    return parsed.select(*known, F.struct("header", "open", extra.alias("extra")).alias(FLAGS))
 
 
-CORRUPT = "_corrupt_record"
+def _measure(cells: DataFrame, statistics: bool) -> tuple[dict[str, int], dict[str, dict]]:
+    """Counts of headers, open lines and rows with too many cells; statistics of the columns if wanted. One scan."""
+    names = [c for c in cells.columns if c != FLAGS]
+    flags = [F.count_if(F.coalesce(f"{FLAGS}.{f}", F.lit(False))).alias(f"{FLAGS}{f}") for f in ("header", "open", "extra")]
+    row = cells.agg(*flags, *(_stat_columns(names) if statistics else ())).first()
+    counts = {f: row[f"{FLAGS}{f}"] for f in ("header", "open", "extra")}
+    stats = {name: row[name].asDict() for name in names} if statistics else {}
+    for stat in stats.values():
+        stat["rows"] -= counts["header"]
+    return counts, stats
 
 
-def _refuse_open_quotes(spark: SparkSession, path: str) -> None:
-    """Lines with an odd number of quotes hold a part of a record only."""
-    odd = F.expr("(length(value) - length(replace(value, '\"', ''))) % 2 = 1")
-    lines = spark.read.text(path).agg(F.count_if(odd)).first()[0]
-    if lines:
-        raise MalformedFile(f"{lines} lines end inside quotes; read the file with multiline=True")
+CORRUPT, FLAGS = "_corrupt_record", "_flags"
 
 
-def _refuse_extra_cells(checked: DataFrame, width: int) -> None:
-    """Rows that do not fit the schema are kept as text; those with more cells are counted."""
-    cells = F.size(F.split(F.regexp_replace(CORRUPT, '"([^"]|"")*"', ""), ","))
-    first = F.count(F.col(_quoted(checked.columns[0])))  # the reader wants another column beside
-    rows = checked.agg(F.count_if(F.col(CORRUPT).isNotNull() & (cells > width)), first).first()[0]
+def _refuse_extra_cells(rows: int) -> None:
     if rows:
         raise MalformedFile(f"{rows} rows have more cells than the header")
 
 
+def _normalized(names: Sequence[str]) -> list[str]:
+    return ["_".join(name.lstrip("\ufeff").split()) for name in names]
+
+
 def normalize_columns(df: DataFrame) -> DataFrame:
     """Strip column names and join their words with underscores."""
-    return df.toDF(*["_".join(name.lstrip("\ufeff").split()) for name in df.columns])
+    return df.toDF(*_normalized(df.columns))
 
 
 def infer_rules(raw: DataFrame, threshold: float = 0.6) -> list[ColumnRule]:
@@ -176,10 +215,13 @@ def infer_rules(raw: DataFrame, threshold: float = 0.6) -> list[ColumnRule]:
     Other columns are dates if such a share parses, and text otherwise. Scale
     follows the longest fraction, width the largest number.
     """
-    stats = _column_stats(raw)
+    row = raw.agg(*_stat_columns(raw.columns)).first()
+    return _rules({name: row[name].asDict() for name in raw.columns}, threshold)
+
+
+def _rules(stats: dict[str, dict], threshold: float = 0.6) -> list[ColumnRule]:
     rules = []
-    for name in raw.columns:
-        stat = stats[name]
+    for name, stat in stats.items():
         known, numbers = stat["known"], stat["numbers"]
         kind, chosen = "text", StringType()
         if known and known == stat["rows"] == stat["booleans"]:
@@ -194,11 +236,11 @@ def infer_rules(raw: DataFrame, threshold: float = 0.6) -> list[ColumnRule]:
     return rules
 
 
-def _column_stats(raw: DataFrame) -> dict[str, dict]:
-    """Counts over all rows, one pass, one row."""
+def _stat_columns(names: Sequence[str]) -> list[Column]:
+    """Counts over all rows, one struct for each column."""
     flags = ", ".join(f"'{text}'" for text in BOOLEANS)
     structs = []
-    for name in raw.columns:
+    for name in names:
         cell = _quoted(name)
         text, value = f"trim({cell})", _number(cell, "double")
         power = f"coalesce(try_cast(regexp_extract({text}, '[eE]([+-]?[0-9]+)$', 1) AS INT), 0)"
@@ -219,8 +261,7 @@ def _column_stats(raw: DataFrame) -> dict[str, dict]:
         }
         body = ", ".join(f"{sql} AS {field}" for field, sql in fields.items())
         structs.append(F.expr(f"struct({body}) AS {cell}"))
-    row = raw.agg(*structs).first()
-    return {name: row[name].asDict() for name in raw.columns}
+    return structs
 
 
 def _int_type(stat: dict) -> DataType:
@@ -266,10 +307,18 @@ def _width(rule: ColumnRule) -> str:
 
 def load_csv(spark: SparkSession, path: str, target: str, multiline: bool = False) -> list[ColumnRule]:
     """Import one file into a target and return its column rules, with the cells lost."""
-    raw = read_csv_raw(spark, path, multiline)
-    rules = infer_rules(raw)
-    write_table(choose_types(raw, rules), target)
-    return measure_lost(read_target(spark, target), rules)
+    return _load(spark, path, target, multiline)[0]
+
+
+def _load(spark: SparkSession, path: str, target: str, multiline: bool) -> tuple[list[ColumnRule], int]:
+    """Column rules with the cells lost, and rows written; both are counted while the target is written."""
+    raw, stats = _survey(spark, path, multiline, statistics=True)
+    rules = _rules(stats)
+    written = Observation()
+    known = [F.count(F.col(_quoted(r.name))).alias(f"c{i}") for i, r in enumerate(rules)]
+    write_table(choose_types(raw, rules).observe(written, F.count(F.lit(1)).alias("rows"), *known), target)
+    counts = written.get
+    return [replace(r, lost=r.known - counts[f"c{i}"]) for i, r in enumerate(rules)], counts["rows"]
 
 
 STATUS = StructType(
@@ -289,23 +338,30 @@ def import_tables(
     target_folder: str | None = None,
     files: Mapping[str, str] = FILES,
     multiline: bool = False,
+    at_once: int = 4,
 ) -> DataFrame:
     """Import a set of files, replacing the tables; rows (table, status, rows, lost, message).
 
-    A missing file is skipped and a failing one reported; neither stops the
-    rest. With ``target_folder`` tables are written below it, else to the catalog.
+    A missing file is skipped and a failing one reported; neither stops the rest,
+    and the table of a failing file stays as it was. With ``target_folder`` tables
+    are written below it, else to the catalog. ``at_once`` files are imported at a
+    time, each in a scheduler pool named after its table.
     """
-    report = []
-    for file, table in files.items():
+
+    def one(file: str, table: str) -> tuple:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", table)
         target = f"{target_folder}/{table}" if target_folder else table
         try:
-            lost = sum(r.lost for r in load_csv(spark, f"{folder}/{file}", target, multiline))
-            rows = read_target(spark, target).count()
-            report.append((table, "loaded", rows, lost, None))
+            rules, rows = _load(spark, f"{folder}/{file}", target, multiline)
+            return table, "loaded", rows, sum(r.lost for r in rules), None
         except AnalysisException as error:
             missing = error.getCondition() == "PATH_NOT_FOUND"
-            status = "skipped" if missing else "error"
-            report.append((table, status, None, None, str(error).splitlines()[0]))
+            return table, "skipped" if missing else "error", None, None, str(error).splitlines()[0]
         except Exception as error:  # one bad file must not stop the others
-            report.append((table, "error", None, None, str(error).splitlines()[0]))
+            return table, "error", None, None, (str(error) or repr(error)).splitlines()[0]
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        # each thread gets the scratch scopes and local properties of this one
+        waiting = [pool.submit(copy_context().run, inheritable_thread_target(spark)(one), *f) for f in files.items()]
+        report = [w.result() for w in waiting]
     return spark.createDataFrame(report, STATUS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,12 +33,63 @@ def ensure_table(
 
 
 def write_table(df: DataFrame, target: str) -> None:
-    """Replace a target: a path when it holds a slash, else a catalog table."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if "/" in target:
-        writer.save(target)
-    else:
-        writer.saveAsTable(target)
+    """Replace a target: a path when it holds a slash, else a catalog table.
+
+    The new table is written beside the old one and takes its name when it is
+    complete. If anything fails, the old one stays or comes back, and what was
+    written is removed; so ``df`` may read the target itself. On a file system
+    without atomic renames readers may find no table for the time of two renames.
+    """
+    mark = uuid.uuid4().hex[:12]
+    swap = _swap_paths if "/" in target else _swap_tables
+    swap(df, target.rstrip("/"), mark)
+
+
+def _swap_paths(df: DataFrame, target: str, mark: str) -> None:
+    spark = df.sparkSession
+    head, _, name = target.rpartition("/")
+    # names that begin with a point are hidden from readers of the folder
+    paths = (target, f"{head}/.{name}-new-{mark}", f"{head}/.{name}-old-{mark}")
+    there, new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths)
+    files = there.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def rename(a, b) -> None:
+        if not files.rename(a, b):
+            raise OSError(f"{a} was not renamed to {b}")
+
+    try:
+        df.write.parquet(paths[1])
+        if files.exists(there):
+            rename(there, old)
+        try:
+            rename(new, there)
+        except BaseException:
+            if files.exists(old):
+                rename(old, there)
+            raise
+    finally:
+        files.delete(new, True)
+    files.delete(old, True)
+
+
+def _swap_tables(df: DataFrame, target: str, mark: str) -> None:
+    spark = df.sparkSession
+    new, old = f"{target}_new_{mark}", f"{target}_old_{mark}"
+    try:
+        df.write.format("parquet").saveAsTable(new)
+        kept = spark.catalog.tableExists(target)
+        if kept:
+            spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {new} RENAME TO {target}")
+        except BaseException:
+            if kept:
+                spark.sql(f"ALTER TABLE {old} RENAME TO {target}")
+            raise
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+    if kept:
+        spark.sql(f"DROP TABLE {old}")
 
 
 def scan_jdbc(

@@ -95,8 +95,10 @@ def test_no_digit_is_lost(spark, tmp_path):
 def test_rows_that_do_not_fit_the_header(spark, tmp_path):
     with pytest.raises(ci.MalformedFile, match="1 rows have more cells"):
         ci.read_csv_raw(spark, write(tmp_path / "e.csv", "a,b\n1,2\n3,4,5\n"))
-    with pytest.raises(ci.MalformedFile, match="multiline=True"):
-        ci.read_csv_raw(spark, write(tmp_path / "q.csv", 'a,b\n1,"x\ny"\n2,z\n'))
+    with pytest.raises(ci.MalformedFile, match="1 rows have more cells"):  # the row goes over two lines
+        ci.read_csv_raw(spark, write(tmp_path / "q.csv", 'a,b\n1,"x\ny",3\n2,z\n'))
+    raw = ci.read_csv_raw(spark, write(tmp_path / "r.csv", 'a,b\n1,"x\ny"\n2,z\n'))
+    assert [tuple(r) for r in raw.collect()] == [("1", "x\ny"), ("2", "z")]
     raw = ci.read_csv_raw(spark, write(tmp_path / "s.csv", 'a,b\n1\n2,"x,y"\n'))  # a short row, a quoted comma
     assert [tuple(r) for r in raw.collect()] == [("1", None), ("2", "x,y")]
 
