@@ -23,12 +23,14 @@ from typing import NamedTuple
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from shelfwise.llm.common import Sent, map_text, materialize, prepare, sha_hex
+from shelfwise.llm.pieces import PieceModel, byte_letters, is_plain, plain_splitter
 
 FIRST = public_tokenizers.path("byte_bpe_50k.json")
 SECOND = public_tokenizers.path("piece_bpe_32k.model")
@@ -45,13 +47,6 @@ CUT = re.compile(r"(?<=\S)(?= )")
 BLANK = "▁"
 
 
-def byte_letters() -> dict[str, int]:
-    """The byte that each letter of a byte-level vocabulary stands for."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def first_bytes(json_text: str) -> list[bytes]:
     """Bytes of each id of a byte-level tokenizer."""
     vocabulary = json.loads(json_text)["model"]["vocab"]
@@ -88,8 +83,9 @@ class Aligner:
     def __init__(self, given: tuple[str, bytes]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task on a core
         json_text, model = given
-        self.first = Tokenizer.from_str(json_text)
-        self.first.encode_special_tokens = True
+        # Piece by piece, so that the texts of special tokens are ordinary text.
+        self.first = PieceModel(Tokenizer.from_str(json_text))
+        self.split, self.plain_split = regex.compile(public_tokenizers.PATTERN).findall, plain_splitter()
         self.second = SentencePieceProcessor(model_proto=model)
         self.first_bytes, self.second_bytes = first_bytes(json_text), second_bytes(self.second)
         self.first_sizes, self.second_sizes = (np.array(list(map(len, x))) for x in (self.first_bytes, self.second_bytes))
@@ -130,7 +126,8 @@ class Aligner:
         """New units: each text begins with the blank that the second tokenizer adds."""
         if not texts:
             return []
-        a = [e.ids for e in self.first.encode_batch_fast(texts, add_special_tokens=False)]
+        split, ids = ((self.plain_split if is_plain(t) else self.split)(t) for t in texts), self.first.ids
+        a = [[i for piece in pieces for i in ids(piece)] for pieces in split]
         b = [x or [self.blank] for x in self.second.encode([t[1:] for t in texts], num_threads=1)]
         ok = [self.gives(t.encode("utf-8", "surrogatepass"), x, y) for t, x, y in zip(texts, a, b)]
         units = iter(self.grouped([x for x, good in zip(a, ok) if good], [y for y, good in zip(b, ok) if good]))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 
+from tokenizers import Tokenizer
+
 #: Characters whose classes a plain set can name: ASCII and the Latin-1 letters.
 _OTHER = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
 _LETTER, _SPACE = "A-Za-zÀ-ÖØ-öø-ÿ", r" \t\n\r\f\v"
@@ -25,3 +28,31 @@ def plain_splitter():
 def is_plain(text: str) -> bool:
     """Whether ``plain_splitter`` splits this text as the full pattern does."""
     return _OTHER.search(text) is None
+
+
+def byte_letters() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+class PieceModel:
+    """The merges of a byte-level tokenizer on single pieces of its splitting pattern.
+
+    It asks the tokenizer's own model, without the offsets, masks and token texts
+    that an encoding makes: a quarter of the time for the same ids. The tokenizer
+    must split by the byte-level pattern and change no text before.
+    """
+
+    def __init__(self, tokenizer: Tokenizer):
+        config = json.loads(tokenizer.to_str())
+        split = config["pre_tokenizer"] or {}
+        if config["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex"):
+            raise ValueError("the tokenizer does more than split by the byte-level pattern")
+        self.model = tokenizer.model
+        self.letters = {b: c for c, b in byte_letters().items()}
+
+    def ids(self, piece: str) -> list[int]:
+        """Ids of one piece."""
+        return [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]

@@ -24,12 +24,12 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from shelfwise.llm.common import Sent, map_text, materialize, prepare, scratch_path, string_type
-from shelfwise.llm.pieces import is_plain, plain_splitter
+from shelfwise.llm.pieces import PieceModel, is_plain, plain_splitter
 
 TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
-#: Pieces whose ids a task keeps, and the longest piece worth keeping.
-KEPT_PIECES = 800_000
+#: Pieces of one generation whose ids a worker keeps, and the longest piece worth keeping.
+KEPT_PIECES = 400_000
 KEPT_CHARS = 64
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -57,7 +57,10 @@ class PieceTokenizer:
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         # The same pieces on texts of ASCII and Latin-1 letters, for the faster ``re``.
         self.plain_split = plain_splitter()
+        self.pieces = PieceModel(self.tokenizer)
+        #: Two generations: what a batch needs of the older one moves to the newer.
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
@@ -69,14 +72,12 @@ class PieceTokenizer:
         for pieces in split:
             new.update(pieces)
         new.difference_update(self.kept)
-        once: dict[str, bytes] = self.kept
-        if new:
-            if len(self.kept) + len(new) > KEPT_PIECES:
-                self.kept = once = {}
-                new = {p for pieces in split for p in pieces}
-            order = list(new)
-            for piece, found in zip(order, self.tokenizer.encode_batch_fast(order, add_special_tokens=False)):
-                once[piece] = array("I", found.ids).tobytes()
+        if len(self.kept) + len(new) > KEPT_PIECES:
+            self.older, self.kept = self.kept, {}
+            new = {p for pieces in split for p in pieces}
+        once, older, ids = self.kept, self.older, self.pieces.ids
+        for piece in new:
+            once[piece] = older[piece] if piece in older else array("I", ids(piece)).tobytes()
         out = [whole[t] if t in whole else b"".join(map(once.__getitem__, pieces)) for t, pieces in zip(texts, split)]
         for piece in new:
             if len(piece) > KEPT_CHARS:

@@ -10,7 +10,6 @@ from shelfwise.llm import token_files
 from .conftest import ODD
 
 TRUTH = Tokenizer.from_file(token_files.TOKENIZER_FILE)
-TRUTH.encode_special_tokens = True
 
 
 def check(got, rows):
