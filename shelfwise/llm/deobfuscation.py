@@ -52,8 +52,8 @@ class CharModel:
             seen, kinds = now.sum(-1, keepdims=True), (now > 0).sum(-1, keepdims=True)
             prob = np.where(seen > 0, (now + kinds * prob) / np.maximum(seen + kinds, 1), prob)
         self.cost = (-np.log(prob)).astype(np.float32)
-        # what a symbol costs at least, whatever stands before it
-        self.least = self.cost.reshape(-1, size).min(0).astype(np.float64)
+        # what a symbol costs at least after another one, whatever stands before that
+        self.least = self.cost.min(axis=tuple(range(ORDER - 2))).astype(np.float64)
 
     def code(self, letter: str) -> int:
         return self.index.get(letter, OTHER)
@@ -101,6 +101,8 @@ def _readings(text: str) -> Iterator[list[Reading]]:
 def restore(text: str, model: CharModel, words: bool = False) -> str:
     """The most likely sent text; with ``words`` it may fall into several words."""
     runs = list(_readings(text))
+    if not words:  # no word can end between them
+        runs = _merged(runs)
     # every path without masked letters bounds the best path
     found = _search([[r for r in readings if None not in r[0]] for readings in runs], model, words)
     if any(None in places for readings in runs for places, _ in readings):
@@ -108,39 +110,54 @@ def restore(text: str, model: CharModel, words: bool = False) -> str:
     return found[1].strip()
 
 
+def _merged(runs: list[list[Reading]]) -> list[list[Reading]]:
+    """Runs that can be read in one way only, put together with such ones beside them."""
+    found: list[list[Reading]] = []
+    for readings in runs:
+        if found and len(readings) == 1 == len(found[-1]):
+            (places, channel), (more, cost) = found[-1][0], readings[0]
+            found[-1] = [(places + more, channel + cost)]
+        else:
+            found.append(readings)
+    return found
+
+
 def _search(
     runs: list[list[Reading]], model: CharModel, words: bool, bound: float = math.inf, most: float = math.inf
 ) -> tuple[float, str] | None:
     """Cost and text of the best path, or None beyond ``most`` states.
 
     States are left out only if they cannot be part of a path within ``bound``:
-    the rest of the text costs at least its channel and the least costs of its letters.
+    the rest of the text costs at least what ``_ahead`` says for their last symbol.
     """
-    cost, least = model.cost, model.least
+    cost = model.cost
     codes = {x: [model.code(c) for c in x] for readings in runs for places, _ in readings for x in places if x}
-    lowest = {None: float(least[2:].min())} | {x: min(float(least[c]) for c in found) for x, found in codes.items()}
-    rest = [0.0]
-    for readings in reversed(runs):
-        rest.append(rest[-1] + min(channel + sum(lowest[x] for x in places) for places, channel in readings))
-    rest.reverse()
+    # without a bound nothing is left out
+    ahead = _ahead(runs, model, codes, words) if bound < math.inf else None
     bound += 1e-6
     start = (BORDER,) * (ORDER - 1)
     layer: dict[tuple, tuple[float, str]] = {start: (0.0, "")}
     for number, readings in enumerate(runs):
         options: dict[tuple, tuple[float, str]] = {}
-        for places, channel in readings:
+        for reading, (places, channel) in enumerate(readings):
             now = {s: (t + channel, o) for s, (t, o) in layer.items()}
-            left = rest[number + 1] + sum(lowest[x] for x in places)
-            for letters in places:
+            bounds = ahead[number][reading] if ahead else None
+            for place, letters in enumerate(places):
+                if len(now) == 1 and letters is not None and len(letters) == 1:
+                    # one state and one letter: nothing to choose
+                    ((state, (total, out)),) = now.items()
+                    code = codes[letters][0]
+                    now = {(*state[1:], code): (total + cost.item(*state, code), out + letters)}
+                    continue
                 after: dict[tuple, tuple[float, str]] = {}
-                here, left = bound - left, left - lowest[letters]
+                here, left = bounds[place : place + 2] if bounds else (None, None)
                 for state, (total, out) in now.items():
-                    if total > here:
+                    if here is not None and total + here[state[-1]] > bound:
                         continue
                     row = cost[state]
                     if letters is None:
-                        near = np.flatnonzero(row[2:] <= bound - left - total)
-                        steps = [(i + 2, model.letters[i]) for i in near.tolist()]
+                        near = np.flatnonzero(row[2:] + left[2:] <= bound - total) if bounds else range(len(model.letters))
+                        steps = [(int(i) + 2, model.letters[i]) for i in near]
                     else:
                         steps = zip(codes[letters], letters)
                     for code, x in steps:
@@ -165,6 +182,35 @@ def _search(
     return min(ends, default=(math.inf, ""))
 
 
+def _ahead(runs: list[list[Reading]], model: CharModel, codes: dict, words: bool) -> list[list[list[np.ndarray]]]:
+    """For each run, reading and place: what the rest costs at least after each last symbol; the end comes last."""
+    least = model.least
+    after = least[:, BORDER].copy()  # a word ends; an empty one costs nothing
+    after[BORDER] = 0.0
+    found = []
+    for number, readings in zip(reversed(range(len(runs))), reversed(runs)):
+        if number == 0 and len(readings) == 1 and all(x is not None and len(x) == 1 for x in readings[0][0]):
+            found.append([[]])  # one state goes through it
+            break
+        if words:
+            after = np.minimum(after, least[:, BORDER] + BREAK_COST + after[BORDER])
+        run, before = [], None
+        for places, channel in readings:
+            steps = [after]
+            for letters in reversed(places):
+                if letters is None:
+                    steps.append((least[:, 2:] + steps[-1][2:]).min(1))
+                else:
+                    ways = [least[:, c] + steps[-1][c] for c in codes[letters]]
+                    steps.append(ways[0] if len(ways) == 1 else np.minimum.reduce(ways))
+            run.append(steps[::-1])
+            total = steps[-1] + channel
+            before = total if before is None else np.minimum(before, total)
+        found.append(run)
+        after = before
+    return found[::-1]
+
+
 def _search_array(runs: list[list[Reading]], model: CharModel, words: bool) -> str:
     """Text of the best path; the totals of all states are one array over the last three symbols."""
     size, cost = model.size, model.cost

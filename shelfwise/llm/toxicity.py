@@ -35,6 +35,8 @@ PREFIXES = (4, 5, 6, 7, 8)
 BUCKET_BITS = 24
 #: Characters restored as one piece, at most; longer places go in pieces that overlap by half.
 PIECE = 40
+#: Restored places that a worker keeps.
+KEPT_PLACES = 200_000
 
 _TOKEN = re.compile(r"\S+")
 #: One character that stands alone, signs around it allowed.
@@ -102,7 +104,7 @@ def restore_text(text: str, model: CharModel, known: dict, seen: dict[str, int]
             if not any(c.isalpha() for c in piece):
                 continue
             if (piece, spaced) not in known:
-                if len(known) >= 50_000:
+                if len(known) >= KEPT_PLACES:
                     known.clear()
                 known[piece, spaced] = restore(piece, model, spaced)
             out[known[piece, spaced]] = None
@@ -192,20 +194,18 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def _features(sent: Sent):
-    """Features of the texts of a batch, with the words restored in them."""
-    known: dict = {}
-    seen: dict[str, int] = {}
+    """Features of the texts of a batch, with the words restored in them; a worker keeps what it restored."""
 
     def of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        model = sent.made(_as_is)
+        model, known, seen = sent.made(_with_memory)
         lower = [(t or "").lower() for t in texts]
         return word_features([f"{t} {restore_text(t, model, known, seen)}" if t else "" for t in lower])
 
     return of
 
 
-def _as_is(value):
-    return value
+def _with_memory(model: CharModel) -> tuple[CharModel, dict, dict]:
+    return model, {}, {}
 
 
 def fit(df: DataFrame, labels: DataFrame, model: Sent, key: str, text: str, label: str) -> tuple[np.ndarray, np.ndarray, float]:
