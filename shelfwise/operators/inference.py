@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.student_t import t_critical, t_two_sided_p
@@ -16,34 +18,91 @@ TOP, LOW = "top", "low"
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlations of all column pairs, rows (a, b, r).
 
-    Each pair uses the rows where both values are known. A pair without spread
-    has a null correlation. One aggregate over (pair, x, y) rows, combined
-    map-side to one row per pair and task.
+    Each pair uses the rows where both values are known; a pair without spread, or
+    without common rows, has a null correlation. A task keeps one buffer with the
+    counts, means and co-moments of all pairs and gives one row for each pair; rows
+    of tasks are merged around their common mean, so that a large offset of the
+    values costs no digits.
     """
-    names = F.array(*[F.lit(c) for c in cols])
-    values = F.array(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols])
-    rows = df.select(values.alias("v"))
-    first = rows.select("v", F.posexplode("v").alias("i", "x"))
-    rest = F.slice("v", F.col("i") + 1, len(cols))
-    pairs = first.select("i", "x", F.posexplode(rest).alias("step", "y")).where(
-        "x IS NOT NULL AND y IS NOT NULL"
+    null = F.lit(None).cast("double")
+    values = df.select(*[F.nanvl(F.col(c).cast("double"), null).alias(f"v{i}") for i, c in enumerate(cols)])
+    shape = "i int, j int, n bigint, mx double, my double, ox double, oy double, xx double, yy double, xy double"
+    pair = Window.partitionBy("i", "j")
+    # A mean is one of the values and an offset, so that differences of means keep their digits.
+    parts = values.mapInArrow(_co_moments, shape).withColumns({
+        "dx": F.col("mx") - F.min("mx").over(pair) + F.col("ox"),
+        "dy": F.col("my") - F.min("my").over(pair) + F.col("oy"),
+        "all": F.sum("n").over(pair),
+    })
+    parts = parts.withColumns(
+        {d: F.col(d) - F.sum(F.col("n") * F.col(d)).over(pair) / F.col("all") for d in ("dx", "dy")}
     )
-    moments = pairs.groupBy("i", (F.col("i") + F.col("step")).alias("j")).agg(
-        F.covar_pop("x", "y").alias("xy"), F.var_pop("x").alias("xx"), F.var_pop("y").alias("yy")
+    moments = parts.groupBy("i", "j").agg(
+        F.sum(F.col("xx") + F.col("n") * F.col("dx") * F.col("dx")).alias("xx"),
+        F.sum(F.col("yy") + F.col("n") * F.col("dy") * F.col("dy")).alias("yy"),
+        F.sum(F.col("xy") + F.col("n") * F.col("dx") * F.col("dy")).alias("xy"),
     )
     spread = (F.col("xx") > 0) & (F.col("yy") > 0)
     ratio = F.col("xy") / (F.sqrt("xx") * F.sqrt("yy"))
     bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), ratio))
     r = F.when(spread, F.when(F.col("i") == F.col("j"), 1.0).otherwise(bounded))
     # Every pair appears even where no row has both values.
-    index = F.sequence(F.lit(0), F.lit(len(cols) - 1))
-    grid = df.sparkSession.range(1).select(F.explode(index).alias("p")).select(
-        "p", F.explode(index).alias("q")
-    )
-    upper = grid.select(
-        "p", "q", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j")
-    ).join(moments.select("i", "j", r.alias("r")), ["i", "j"], "left")
-    return upper.select(F.get(names, F.col("p")).alias("a"), F.get(names, F.col("q")).alias("b"), "r")
+    grid = [(a, b, min(p, q), max(p, q)) for p, a in enumerate(cols) for q, b in enumerate(cols)]
+    upper = df.sparkSession.createDataFrame(grid, "a string, b string, i int, j int")
+    return upper.join(moments.select("i", "j", r.alias("r")), ["i", "j"], "left").select("a", "b", "r")
+
+
+def _centred(x: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Columns less the mean of their known values, 0 elsewhere; a value and the mean's offset from it; the sums of squares.
+
+    Equal values give an offset and a sum of exactly 0.
+    """
+    if not len(x):
+        return x, *np.zeros((3, x.shape[1]))
+    first = np.where(known.any(0), x[known.argmax(0), np.arange(x.shape[1])], 0.0)
+    shifted = np.where(known, x - first, 0.0)
+    middle = shifted.sum(0) / np.maximum(known.sum(0), 1)
+    centred = np.where(known, shifted - middle, 0.0)
+    return centred, first, middle, (centred * centred).sum(0)
+
+
+def _co_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each pair of columns with common rows in this task.
+
+    Matrices hold in cell (i, j) what concerns column i over the rows where j is
+    known too; batches are merged by Chan's update.
+    """
+    total = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
+        known = ~np.isnan(x)
+        with np.errstate(all="ignore"):
+            n = known.T.astype(np.float64) @ known
+            centred, *found = _centred(x, known)
+            first, offset, own = (np.repeat(v[:, None], len(v), axis=1) for v in found)
+            both = centred.T @ centred
+            for j in np.flatnonzero(~known.all(0)):
+                rows = known[:, j]
+                part, first[:, j], offset[:, j], own[:, j] = _centred(x[rows], known[rows])
+                both[:, j] = part.T @ centred[rows, j]
+            if total is None:
+                total = [n, first, offset, own, both]
+                continue
+            n1, first1, offset1, own1, both1 = total
+            every = np.maximum(n1 + n, 1)
+            d = np.where((n1 > 0) & (n > 0), first - first1 + (offset - offset1), 0.0)
+            weight = n1 * n / every
+            offset = np.where(n1 > 0, offset1 + d * (n / every), offset)
+            total = [n1 + n, np.where(n1 > 0, first1, first), offset, own1 + own + d * d * weight, both1 + both + d * d.T * weight]
+    if total is not None:
+        n, first, offset, own, both = total
+        i, j = np.nonzero(np.triu(n) > 0)
+        columns = (i.astype(np.int32), j.astype(np.int32), n[i, j].astype(np.int64), first[i, j], first[j, i],
+                   offset[i, j], offset[j, i], own[i, j], own[j, i], both[i, j])
+        names = ["i", "j", "n", "mx", "my", "ox", "oy", "xx", "yy", "xy"]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
 def mean_ci(

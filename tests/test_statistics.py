@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -226,6 +228,33 @@ def test_correlation_matrix(df, sample):
     assert got.loc["k"].isna().all() and got["k"].isna().all()  # constant column
 
 
+def test_correlation_of_large_offsets_and_many_tasks(spark):
+    """Values far from 0, nulls in every column, a pair that is constant on its common rows; no row is repeated."""
+    rng = np.random.default_rng(5)
+    n = 6000
+    base = rng.normal(size=n)
+    frame = pd.DataFrame({
+        "a": base + 1e9,
+        "b": 0.5 * base + rng.normal(size=n) + 1e9,
+        "c": np.where(rng.random(n) < 0.3, np.nan, rng.normal(size=n) - 1e7),
+        "d": np.where(np.arange(n) % 2 == 0, 0.1, rng.normal(size=n)),
+        "e": np.where(np.arange(n) % 2 == 0, base, np.nan),
+        "f": 0.1,
+    })
+    rows = frame.astype(object).where(frame.notna(), None).values.tolist()
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in frame.columns)).repartition(13)
+    found = correlation_matrix(df, list("abcdef"))
+    assert not re.search("Generate|Expand", found._jdf.queryExecution().executedPlan().toString())
+    got = {(r.a, r.b): r.r for r in found.collect()}
+    # the same values without their offsets, exact in binary
+    want = (frame - [1e9, 1e9, -1e7, 0, 0, 0]).corr()
+    for x in "abc":
+        for y in "abc":
+            assert got[x, y] == pytest.approx(want.loc[x, y], abs=1e-9), (x, y)
+    assert got["e", "a"] == pytest.approx(want.loc["e", "a"], abs=1e-9)
+    assert got["d", "e"] is None and got["e", "d"] is None and got["f", "f"] is None and got["d", "d"] == 1.0
+
+
 def test_correlation_without_common_rows(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None), (None, 5.0)], "a double, b double")
     rows = {(r.a, r.b): r.r for r in correlation_matrix(df, ["a", "b"]).collect()}
