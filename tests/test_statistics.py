@@ -201,6 +201,29 @@ def test_density_curve(df, sample):
         assert part.y.tolist() == pytest.approx((y * (v.max() - v.min()) / 30).tolist())
 
 
+def test_density_of_wide_ranges(spark):
+    """Outliers far beyond the bandwidth, ties and a large offset; no Python in the plan; boxes, not values, are evaluated."""
+    rng = np.random.default_rng(8)
+    frame = pd.DataFrame({
+        "a": np.concatenate([rng.normal(size=4000), [900.0, 901.0, -350.0]]),
+        "b": np.concatenate([np.repeat(1e6, 2000), rng.normal(1e6, 3, 2003)]),
+        "c": rng.lognormal(0, 3, 4003),
+    })
+    df = spark.createDataFrame(frame.values.tolist(), "a double, b double, c double").repartition(5)
+    found = kde(df, ["a", "b", "c"])
+    assert not re.search("Python|MapInArrow|MapInPandas", found._jdf.queryExecution().executedPlan().toString())
+    rows = found.toPandas()
+    assert len(rows) == 600
+    for col in "abc":
+        v = frame[col].to_numpy()
+        width = v.std(ddof=1) * len(v) ** -0.2
+        x = np.linspace(v.min(), v.max(), 200)
+        y = np.exp(-(((x[:, None] - v) / width) ** 2) / 2).sum(1) / width / np.sqrt(2 * np.pi) * (v.max() - v.min()) / 30
+        part = rows[rows.column == col].sort_values("point")
+        assert part.x.tolist() == pytest.approx(x.tolist())
+        assert part.y.tolist() == pytest.approx(y.tolist(), rel=1e-8, abs=1e-8)
+
+
 def box(v):
     q1, med, q3 = np.percentile(v, [25, 50, 75])
     inside = v[(v >= q1 - 1.5 * (q3 - q1)) & (v <= q3 + 1.5 * (q3 - q1))]
