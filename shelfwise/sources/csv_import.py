@@ -30,7 +30,7 @@ from pyspark.sql.types import (
 )
 
 from shelfwise.sources import csv_records
-from shelfwise.sources.tables import write_table
+from shelfwise.sources.tables import clustered, layout_options, write_table
 
 # File and table names of the import.
 FILES = {
@@ -42,6 +42,9 @@ FILES = {
     "vendor_invoice.csv": "vendor_invoice",
 }
 
+#: Columns that questions filter the tables by; imported tables are clustered on those that they have.
+CLUSTER_BY = ("VendorNumber", "VendorNo")
+
 # Cell texts that a data-frame CSV reader takes as missing.
 MISSING_TEXTS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -305,18 +308,30 @@ def _width(rule: ColumnRule) -> str:
     return f"varchar({rule.max_length})" if rule.max_length <= 1000 else "text"
 
 
-def load_csv(spark: SparkSession, path: str, target: str, multiline: bool = False) -> list[ColumnRule]:
-    """Import one file into a target and return its column rules, with the cells lost."""
-    return _load(spark, path, target, multiline)[0]
+def load_csv(
+    spark: SparkSession, path: str, target: str, multiline: bool = False, cluster_by: Sequence[str] = ()
+) -> list[ColumnRule]:
+    """Import one file into a target and return its column rules, with the cells lost.
+
+    The target is clustered on those of the columns ``cluster_by`` that it has, at
+    the price of a shuffle and of another scan that finds the ranges.
+    """
+    return _load(spark, path, target, multiline, cluster_by)[0]
 
 
-def _load(spark: SparkSession, path: str, target: str, multiline: bool) -> tuple[list[ColumnRule], int]:
+def _load(
+    spark: SparkSession, path: str, target: str, multiline: bool, cluster_by: Sequence[str] = ()
+) -> tuple[list[ColumnRule], int]:
     """Column rules with the cells lost, and rows written; both are counted while the target is written."""
     raw, stats = _survey(spark, path, multiline, statistics=True)
     rules = _rules(stats)
     written = Observation()
     known = [F.count(F.col(_quoted(r.name))).alias(f"c{i}") for i, r in enumerate(rules)]
-    write_table(choose_types(raw, rules).observe(written, F.count(F.lit(1)).alias("rows"), *known), target)
+    typed, keys = choose_types(raw, rules), [c for c in cluster_by if c in raw.columns]
+    if keys:  # counted above the shuffle: below it a scan that finds the ranges would be counted too
+        typed = clustered(typed, keys)
+    write_options = layout_options(keys) if keys else {}
+    write_table(typed.observe(written, F.count(F.lit(1)).alias("rows"), *known), target, options=write_options)
     counts = written.get
     return [replace(r, lost=r.known - counts[f"c{i}"]) for i, r in enumerate(rules)], counts["rows"]
 
@@ -339,20 +354,22 @@ def import_tables(
     files: Mapping[str, str] = FILES,
     multiline: bool = False,
     at_once: int = 4,
+    cluster_by: Sequence[str] = CLUSTER_BY,
 ) -> DataFrame:
     """Import a set of files, replacing the tables; rows (table, status, rows, lost, message).
 
     A missing file is skipped and a failing one reported; neither stops the rest,
     and the table of a failing file stays as it was. With ``target_folder`` tables
     are written below it, else to the catalog. ``at_once`` files are imported at a
-    time, each in a scheduler pool named after its table.
+    time, each in a scheduler pool named after its table. Tables are clustered on
+    those of the columns ``cluster_by`` that they have.
     """
 
     def one(file: str, table: str) -> tuple:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", table)
         target = f"{target_folder}/{table}" if target_folder else table
         try:
-            rules, rows = _load(spark, f"{folder}/{file}", target, multiline)
+            rules, rows = _load(spark, f"{folder}/{file}", target, multiline, cluster_by)
             return table, "loaded", rows, sum(r.lost for r in rules), None
         except AnalysisException as error:
             missing = error.getCondition() == "PATH_NOT_FOUND"

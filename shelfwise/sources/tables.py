@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,20 +32,61 @@ def ensure_table(
     return spark.table(name)
 
 
-def write_table(df: DataFrame, target: str) -> None:
+def write_table(
+    df: DataFrame, target: str, cluster_by: Sequence[str] = (), options: Mapping[str, str] | None = None
+) -> None:
     """Replace a target: a path when it holds a slash, else a catalog table.
 
     The new table is written beside the old one and takes its name when it is
     complete. If anything fails, the old one stays or comes back, and what was
     written is removed; so ``df`` may read the target itself. On a file system
     without atomic renames readers may find no table for the time of two renames.
+
+    ``cluster_by`` names columns that filters use: see :func:`clustered`; ``options``
+    go to the writer.
     """
     mark = uuid.uuid4().hex[:12]
+    options = dict(options or {})
+    if cluster_by:
+        df, options = clustered(df, cluster_by), layout_options(cluster_by) | options
     swap = _swap_paths if "/" in target else _swap_tables
-    swap(df, target.rstrip("/"), mark)
+    swap(df, target.rstrip("/"), mark, options)
+
+
+#: Bytes of a Parquet row group of a clustered table: small, so that a key's rows fill few of them.
+ROW_GROUP = 16 << 20
+
+
+def layout_options(cluster_by: Sequence[str], row_group: int = ROW_GROUP, distinct: int = 1_000_000) -> dict[str, str]:
+    """Writer options of clustered tables: small row groups, and Bloom filters on the columns for exact look-ups.
+
+    The least and largest values of a row group leave out most groups for the first
+    column; the filters do so for the others, and within groups that span many keys.
+    ``distinct`` is the number of values that a filter is sized for.
+    """
+    options = {"parquet.block.size": str(row_group)}
+    for name in cluster_by:
+        options[f"parquet.bloom.filter.enabled#{name}"] = "true"
+        options[f"parquet.bloom.filter.expected.ndv#{name}"] = str(distinct)
+    return options
+
+
+def clustered(df: DataFrame, cluster_by: Sequence[str]) -> DataFrame:
+    """Rows dealt by ranges of the columns and in their order within a partition.
+
+    A hash of the whole row ends the range key, so that the rows of one hot key go to
+    several partitions.
+    """
+    tie = F.xxhash64(*[F.col(_quoted(c)) for c in df.columns])
+    columns = [F.col(_quoted(c)) for c in cluster_by]
+    return df.repartitionByRange(*columns, tie).sortWithinPartitions(*columns)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _swap_paths(df: DataFrame, target: str, mark: str) -> None:
+def _swap_paths(df: DataFrame, target: str, mark: str, options: dict[str, str]) -> None:
     spark = df.sparkSession
     head, _, name = target.rpartition("/")
     # names that begin with a point are hidden from readers of the folder
@@ -58,7 +99,7 @@ def _swap_paths(df: DataFrame, target: str, mark: str) -> None:
             raise OSError(f"{a} was not renamed to {b}")
 
     try:
-        df.write.parquet(paths[1])
+        df.write.options(**options).parquet(paths[1])
         if files.exists(there):
             rename(there, old)
         try:
@@ -72,11 +113,11 @@ def _swap_paths(df: DataFrame, target: str, mark: str) -> None:
     files.delete(old, True)
 
 
-def _swap_tables(df: DataFrame, target: str, mark: str) -> None:
+def _swap_tables(df: DataFrame, target: str, mark: str, options: dict[str, str]) -> None:
     spark = df.sparkSession
     new, old = f"{target}_new_{mark}", f"{target}_old_{mark}"
     try:
-        df.write.format("parquet").saveAsTable(new)
+        df.write.format("parquet").options(**options).saveAsTable(new)
         kept = spark.catalog.tableExists(target)
         if kept:
             spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
