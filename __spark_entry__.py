@@ -296,7 +296,15 @@ def queries() -> dict[str, Query]:
         "purchase_summary_max": _on_tables(
             lambda t: aggregates.purchase_summary_max(t["purchases"], t["purchase_prices"])
         ),
+        "purchase_summary_max_ordered": _on_tables(
+            lambda t: aggregates.order_by_total_purchases(
+                aggregates.purchase_summary_max(t["purchases"], t["purchase_prices"])
+            )
+        ),
         "sales_summary": _on_tables(lambda t: aggregates.sales_summary(t["sales"])),
+        "sales_summary_ordered": _on_tables(
+            lambda t: aggregates.order_by_total_sales(aggregates.sales_summary(t["sales"]))
+        ),
         "purchases_by_brand_price": _on_tables(
             lambda t: aggregates.purchases_by_brand_price(t["purchases"])
         ),

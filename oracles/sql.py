@@ -417,6 +417,8 @@ UNION ALL SELECT 'strict summary', count(*) FROM (SELECT 1 FROM strict_summary G
   CAST(SUM(SalesDollars) AS DOUBLE) AS TotalSalesDollars, CAST(SUM(SalesPrice) AS DOUBLE) AS TotalSalesPrice,
   CAST(SUM(ExciseTax) AS DOUBLE) AS TotalExciseTax FROM sales GROUP BY VendorNo, Brand"""
     )
+    sql["purchase_summary_max_ordered"] = sql["purchase_summary_max"] + " ORDER BY TotalPurchaseDollars DESC, VendorNumber, Brand"
+    sql["sales_summary_ordered"] = sql["sales_summary"] + " ORDER BY TotalSalesDollars DESC, VendorNumber, Brand"
     sql["purchases_by_brand_price"] = src(
         """SELECT Brand, CAST(PurchasePrice AS DOUBLE) AS PurchasePrice, CAST(SUM(Quantity) AS BIGINT) AS Quantity,
   CAST(SUM(Dollars) AS DOUBLE) AS Dollars FROM purchases GROUP BY Brand, PurchasePrice"""

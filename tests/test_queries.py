@@ -58,6 +58,14 @@ def test_query(spark, duck, name):
             assert a == (pytest.approx(b, rel=1e-9, abs=2e-6) if number else b)
 
 
+@pytest.mark.parametrize("name", ["purchase_summary_max_ordered", "sales_summary_ordered"])
+def test_order(spark, duck, name):
+    """The rows come in the order of the twin."""
+    got = QUERIES[name](spark, SMALL).toPandas()[["VendorNumber", "Brand"]]
+    want = duck.execute(ORACLES[name]).df()[["VendorNumber", "Brand"]]
+    assert len(got) > 100 and got.astype(int).values.tolist() == want.astype(int).values.tolist()
+
+
 def test_filters_drop_some_rows(spark):
     def rows(name):
         return QUERIES[name](spark, SMALL).count()
