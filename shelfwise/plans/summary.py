@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.aggregates import freight_summary, purchase_summary, sales_summary
-from shelfwise.operators.joins import salted_join
+from shelfwise.operators.joins import hot_keys, salted_join
 from shelfwise.operators.metrics import add_metrics, fill_numeric, trim_names
 
 AMOUNTS = (
@@ -39,10 +39,10 @@ def vendor_summary(
     """
     bought = purchase_summary(purchases, prices, price_keys)
     detail = ("VendorName", "Description", "PurchasePrice", "ActualPrice", "Volume")
-    # One vendor may own a third of all rows, and so may one of its brands: few
-    # rows per brand are usual, so the finer key gets fewer copies.
-    sold = salted_join(bought, sales_summary(sales), ["VendorNumber", "Brand"], detail, salts=2)
-    full = salted_join(sold, freight_summary(invoices), "VendorNumber", ("Brand", *detail))
+    # One vendor may own a third of all rows, and so may one of its brands.
+    brands, vendors = hot_keys(purchases, ["VendorNumber", "Brand"], ["VendorNumber"])
+    sold = salted_join(bought, sales_summary(sales), ["VendorNumber", "Brand"], detail, hot=brands)
+    full = salted_join(sold, freight_summary(invoices), "VendorNumber", ("Brand", *detail), hot=vendors)
     result = full.select(
         "VendorNumber",
         "VendorName",
