@@ -61,7 +61,7 @@ def _op8(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _op9(spark: SparkSession, folder: str) -> DataFrame:
-    return warc.describe(warc.derivatives(warc.responses(read_table(spark, folder, "pages"))))
+    return warc.derivative_files(read_table(spark, folder, "pages"))
 
 
 def _op10(spark: SparkSession, folder: str) -> DataFrame:

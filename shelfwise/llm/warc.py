@@ -2,13 +2,15 @@
 
 Each response gives two records: metadata with what the source headers and the
 page say, and a conversion with its plain text. Both name the response they refer
-to and carry its target, date, payload digest and HTTP headers. Record ids are
-made from the response's id, so that a task that runs again writes the same ones.
+to and carry its target, date, payload digest and all HTTP headers, repeated ones
+too. Record ids are made from the response's id, so that a task that runs again
+writes the same ones. The records are written as WARC files and read back.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import html as html_entities
 import re
@@ -19,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import map_text, prepare, string_type
+from shelfwise.llm.common import map_text, prepare, scratch_path, string_type
 
 VERSION = "WARC/1.1"
 #: Date of responses made from pages, which have none.
 CAPTURE_DATE = "2024-01-01T00:00:00Z"
-RECORDS_PER_FILE = 20_000
+RECORDS_PER_FILE = 5_000
+#: Extension header that carries the key of the row that a record was derived from.
+KEY_HEADER = "WARC-Source-Key"
 END = "\r\n\r\n"
 
 _NAMES = uuid.NAMESPACE_URL
@@ -90,10 +94,12 @@ def plain_text(page: str) -> str:
     return _LINES.sub("\n", _BLANKS.sub(" ", text)).strip()
 
 
-def derive(record: bytes) -> list[tuple[str, str, str, bytes]]:
+def derive(record: bytes, key: str | None = None) -> list[tuple[str, str, str, bytes]]:
     """Metadata and conversion of a response: type, record id, id referred to, record.
 
     A record that is no response gives none. A missing payload digest is computed.
+    Every source header is a field of the metadata, in order; ``key`` goes into an
+    extension header of both records.
     """
     headers, block = parse_record(record)
     if headers.get("warc-type") != "response":
@@ -101,8 +107,9 @@ def derive(record: bytes) -> list[tuple[str, str, str, bytes]]:
     http, _, payload = block.partition(END.encode())
     status, _, http_lines = http.partition(b"\r\n")
     source = headers.get("warc-record-id") or record_id(digest(block))
-    kind = {k.decode("latin-1").lower(): v.decode("latin-1") for k, v in _HEADER.findall(http_lines + b"\r\n")}
-    charset = re.search(r"charset=[\"']?([\w-]+)", kind.get("content-type", ""), re.I)
+    fields_of = [(k.decode("latin-1").strip().lower(), v.decode("latin-1")) for k, v in _HEADER.findall(http_lines + b"\r\n")]
+    media_type = next((v for k, v in fields_of if k == "content-type"), "")
+    charset = re.search(r"charset=[\"']?([\w-]+)", media_type, re.I)
     try:
         page = payload.decode(charset[1] if charset else "utf-8", "replace")
     except LookupError:
@@ -112,9 +119,10 @@ def derive(record: bytes) -> list[tuple[str, str, str, bytes]]:
         ("WARC-Date", headers.get("warc-date", "")),
         ("WARC-Refers-To", source),
         ("WARC-Payload-Digest", headers.get("warc-payload-digest") or digest(payload)),
+        (KEY_HEADER, key or ""),
     ]
     title, language = _TITLE.search(page), _LANGUAGE.search(page)
-    fields = [("fetch-status", status.decode("latin-1")), *((f"http-{k}", v) for k, v in kind.items())]
+    fields = [("fetch-status", status.decode("latin-1")), *((f"http-{k}", v) for k, v in fields_of)]
     fields += [("title", html_entities.unescape(title[1]) if title else ""), ("language", language[1] if language else "")]
     fields += [("outlink", html_entities.unescape(x)) for x in dict.fromkeys(_LINK.findall(page))]
     body = "".join(f"{k}: {_one_line(v)}\r\n" for k, v in fields if _one_line(v)).encode("utf-8", "replace")
@@ -149,7 +157,7 @@ def derivatives(df: DataFrame, key: str = "page_id", record: str = "record") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in batches:
-            found = [(n, *d) for n, r in zip(*(c.to_pylist() for c in batch.columns)) if r for d in derive(r)]
+            found = [(n, *d) for n, r in zip(*(c.to_pylist() for c in batch.columns)) if r for d in derive(r, n)]
             yield [list(c) for c in zip(*found)] if found else [[] for _ in range(5)]
 
     schema = "id string, record_type string, record_id string, refers_to string, record binary"
@@ -157,23 +165,29 @@ def derivatives(df: DataFrame, key: str = "page_id", record: str = "record") ->
     return rows.withColumn("id", F.col("id").cast(df.schema[key].dataType)).withColumnRenamed("id", key)
 
 
-def describe(records: DataFrame, key: str = "page_id") -> DataFrame:
-    """Rows (key, record_type, record_id, refers_to, target_uri, payload_digest, block_digest, block_bytes, block_sha256)."""
+def describe(records: DataFrame, key: str = "page_id", key_type: str = "bigint") -> DataFrame:
+    """Rows (key, record_type, record_id, refers_to, target_uri, payload_digest, block_digest, block_bytes, block_sha256, intact).
+
+    One row for each row with a ``record``. The key is read from the record; a
+    record without one, or with one that is not of ``key_type``, has a null key.
+    ``intact`` tells whether the block still has its length and digest.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in batches:
-            parsed = [parse_record(r) for r in batch.column(1).to_pylist()]
+            parsed = [parse_record(r) for r in batch.column(0).to_pylist() if r is not None]
             pick = lambda name, p=parsed: [h.get(name) for h, _ in p]
+            intact = [h.get("warc-block-digest") == digest(b) and h.get("content-length") == str(len(b)) for h, b in parsed]
             yield [
-                batch.column(0), pick("warc-type"), pick("warc-record-id"), pick("warc-refers-to"), pick("warc-target-uri"),
+                pick(KEY_HEADER.lower()), pick("warc-type"), pick("warc-record-id"), pick("warc-refers-to"), pick("warc-target-uri"),
                 pick("warc-payload-digest"), pick("warc-block-digest"), [len(b) for _, b in parsed],
-                [hashlib.sha256(b).hexdigest() for _, b in parsed],
+                [hashlib.sha256(b).hexdigest() for _, b in parsed], intact,
             ]
 
-    schema = ("id string, record_type string, record_id string, refers_to string, target_uri string, "
-              "payload_digest string, block_digest string, block_bytes bigint, block_sha256 string")
-    rows = map_text(records.select(F.col(f"`{key}`").cast("string"), "record"), run, schema)
-    return rows.withColumn("id", F.col("id").cast(records.schema[key].dataType)).withColumnRenamed("id", key)
+    schema = ("id string, record_type string, record_id string, refers_to string, target_uri string, payload_digest string, "
+              "block_digest string, block_bytes bigint, block_sha256 string, intact boolean")
+    rows = map_text(records.select("record"), run, schema)
+    return rows.withColumn("id", F.expr(f"try_cast(id AS {key_type})")).withColumnRenamed("id", key)
 
 
 def write_warc(records: DataFrame, path: str) -> None:
@@ -201,13 +215,21 @@ def split_records(data: bytes) -> Iterator[bytes]:
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Rows (file, record) of the WARC files of a folder; a file, of bounded records, is read by one task."""
-    import gzip
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in batches:
-            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data = data.as_py()
                 found = list(split_records(gzip.decompress(data) if name.endswith(".gz") else data))
                 yield [[name] * len(found), found]
 
     files = prepare(spark).read.format("binaryFile").option("pathGlobFilter", "*.txt*").load(path)
     return map_text(files.select("path", "content"), run, "file string, record binary")
+
+
+def derivative_files(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """Write the derivatives of all pages as WARC files to the shared folder and describe what the files give back."""
+    spark = pages.sparkSession
+    path = scratch_path(spark, "warc")
+    write_warc(derivatives(responses(pages, key), key), path)
+    return describe(read_warc(spark, path), key, pages.schema[key].dataType.simpleString())

@@ -72,6 +72,23 @@ def test_source_headers_and_charsets_are_kept():
     assert warc.parse_record(warc.derive(record)[0][3])[0]["warc-payload-digest"] == sha1(b"<p>caf\xe9</p>")
 
 
+def test_repeated_headers_are_kept():
+    block = b"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nLink: <x>\r\nset-cookie: b=2\r\nContent-Type: text/html\r\nLink: <y>\r\n\r\nx"
+    record = warc.make_record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:uuid:1>")], block)
+    fields = warc.parse_record(warc.derive(record, "12")[0][3])
+    assert fields[0]["warc-source-key"] == "12"
+    assert [x for x in fields[1].decode().splitlines() if x.startswith("http-")] == [
+        "http-set-cookie: a=1", "http-link: <x>", "http-set-cookie: b=2", "http-content-type: text/html", "http-link: <y>",
+    ]
+
+
+def test_broken_blocks_are_noticed(spark):
+    good = warc.derive(warc.response_record("u", "<p>text", "1"), "1")[1][3]
+    rows = [(good,), (good.replace(b"text", b"tent", 2),), (good[:-1],), (None,)]
+    got = [r["intact"] for r in warc.describe(spark.createDataFrame(rows, "record binary").coalesce(1)).collect()]
+    assert got == [True, False, False]
+
+
 def test_text_of_given_pages(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").limit(60).collect()
     for r in rows:
@@ -81,8 +98,11 @@ def test_text_of_given_pages(spark):
 
 
 def test_odd_rows(spark):
-    got = warc.describe(warc.derivatives(warc.responses(pages(spark, ODD)))).collect()
-    assert len(got) == 2 * len(ODD)
+    got = warc.derivative_files(pages(spark, ODD)).collect()
+    assert len(got) == 2 * len(ODD) and all(r["intact"] for r in got)
+    straight = warc.describe(warc.derivatives(warc.responses(pages(spark, ODD)))).collect()
+    assert sorted(got, key=str) == sorted(straight, key=str)
+    assert warc.derivative_files(pages(spark, [])).collect() == []
     for i, url, body in ODD:
         mine = [r for r in got if r["page_id"] == i]
         assert {r["payload_digest"] for r in mine} == {sha1((body or "").encode())}
