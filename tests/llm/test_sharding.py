@@ -3,8 +3,9 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from shelfwise.llm.sharding import Segments, shard_documents
+from shelfwise.llm.sharding import ROW_BYTES, Segments, _ordered_hash, shard_documents
 
 from .conftest import ODD
 
@@ -62,6 +63,18 @@ def check(rows, df, shards):
     return load
 
 
+@pytest.mark.parametrize("shards", [3, 5, 40])
+def test_largest_shard_is_the_optimum(small, shards):
+    """Against the capacity found one by one over the groups of equal texts in hash order."""
+    body = F.coalesce("text", F.lit(""))
+    groups = small.groupBy(_ordered_hash(body).alias("h")).agg(F.sum(F.octet_length(body) + ROW_BYTES).alias("n"))
+    sizes = [r["n"] for r in groups.orderBy("h").collect()]
+    load = defaultdict(int)
+    for r in shard_documents(small, shards).collect():
+        load[r["shard"]] += r["size"]
+    assert sum(load.values()) == sum(sizes) and max(load.values()) == least_capacity(sizes, shards)
+
+
 def test_small_table(small, small_rows):
     load = check(small_rows, shard_documents(small, 5), 5)
     assert max(load.values()) < 1.25 * sum(load.values()) / 5
