@@ -103,22 +103,22 @@ def _steps(texts: list[str | None]) -> Iterator[slice]:
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
     forget_made()
     for batch in batches:
-        all_texts, all_ids = batch.column(1).to_pylist(), batch.column(0)
+        all_texts, given = batch.column(3).to_pylist(), batch.columns[:3]
         for part in _steps(all_texts):
-            texts, ids = all_texts[part], all_ids[part.start : part.stop]
+            texts, own_columns = all_texts[part], [c[part.start : part.stop] for c in given]
             words, offsets = word_hashes(texts)
             high, low = (k.copy() for k in content_keys(words, offsets))
             empty = np.flatnonzero(np.diff(offsets) == 0)
             for i in empty:
                 # no words: copies are equal texts; a null text is like no other row
-                own = b"\0" + str(ids[i]).encode() if texts[i] is None else b"\1" + texts[i].encode("utf-8", "surrogatepass")
+                own = b"\0" + str(own_columns[0][i]).encode() if texts[i] is None else b"\1" + texts[i].encode("utf-8", "surrogatepass")
                 high[i], low[i] = np.frombuffer(hashlib.blake2b(own, digest_size=16).digest(), np.int64)
             found = signatures(*shingles(words, offsets), len(texts))
             buckets: list = list(bands(found))
             raw: list = [row.tobytes() for row in found]
             for i in empty:
                 buckets[i], raw[i] = None, None
-            yield [ids, high, low, raw, buckets]
+            yield [*own_columns, high, low, raw, buckets]
 
 
 def _weighted(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -289,39 +289,31 @@ def _open_links(live: DataFrame, labels: DataFrame, texts: DataFrame, threshold:
     return found.select(F.col("a").cast(kind), F.col("b").cast(kind))
 
 
-def classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """Rows (key, class_id), one for each row of ``df``.
+def _hashed(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows (id, text, hash): the hash is of both."""
+    docs = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    return docs.withColumn("hash", F.xxhash64(F.col("id").cast("string"), "text"))
 
-    Two documents are linked when the exact probability Jaccard of their five-word
-    shingles is ``threshold`` or more; a class is a connected component, named by
-    its least key. Texts with the same words are one document from the start;
-    a text of one to four words is a single shingle. Texts without words are in
-    a class with texts equal to them; a row with a null text is alone. Rows with
-    the same key count as one document. A row with a null key gets the class of
-    its copies (null if none of them has a key). An empty table gives no rows.
 
-    At the threshold a pair shares no band with a probability of 5e-5, and less
-    the more similar it is.
-    """
+def _classed(df: DataFrame, key: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Members (row, id, hash, high, low, node) and classes of nodes (node, label, class_id)."""
     prepare(df.sparkSession)
     id_type = df.schema[key].dataType
-    docs = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    docs = _hashed(df, key, text)
     signed = map_text(
-        docs.select(F.col("id").cast("string"), "text"),
+        docs.select(F.monotonically_increasing_id().alias("row"), F.col("id").cast("string"), "hash", "text"),
         _sign,
-        "id string, high bigint, low bigint, signature binary, buckets array<bigint>",
+        "row bigint, id string, hash bigint, high bigint, low bigint, signature binary, buckets array<bigint>",
     )
+    # The numbers of rows are written: they name the nodes, one for each content.
     signed = materialize(signed.withColumn("id", F.col("id").cast(id_type)), "signatures")
-    copies = signed.groupBy("high", "low").agg(F.min("id").alias("node"))
-    members = materialize(signed.select("id", "high", "low").join(copies, ["high", "low"]).select("id", "node"), "copies")
-    nodes = members.where("id = node").select("id").distinct()
-    signed = materialize(
-        signed.where("buckets IS NOT NULL")
-        .select("id", "signature", "buckets")
-        .join(nodes, "id", "left_semi")
-        .dropDuplicates(["id", "signature"]),
-        "nodes",
+    copies = materialize(
+        signed.groupBy("high", "low").agg(F.min("row").alias("node"), F.min("id").alias("least")), "copies"
     )
+    members = signed.select("row", "id", "hash", "high", "low").join(copies.drop("least"), ["high", "low"])
+    members = materialize(members, "members")
+    nodes = signed.where("buckets IS NOT NULL").join(copies.select(F.col("node").alias("row")), "row", "left_semi")
+    signed = materialize(nodes.select(F.col("row").alias("id"), F.col("id").alias("doc"), "hash", "signature", "buckets"), "nodes")
     rows = signed.select("id", F.posexplode("buckets").alias("band", "bucket"))
     shared = rows.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     live = materialize(rows.join(shared, ["band", "bucket"]), "buckets")
@@ -336,10 +328,12 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: f
     live = materialize(live.join(leaders, ["band", "bucket"]), "led-buckets")
     pairs = live.where("id <> leader").groupBy("id", "leader").agg(F.first("order").alias("order"))
     pairs = materialize(pairs, "pairs")
-    # The texts of all documents in shared buckets. A shuffle at every size: their ids
+    # The texts of all nodes in shared buckets. A shuffle at every size: their ids
     # have no bound that a broadcast could rely on.
-    signs = signed.select("id", "signature").join(live.select("id").distinct(), "id", "left_semi")
-    texts = materialize(docs.join(signs.hint("merge"), "id"), "texts")
+    signs = signed.select("id", "doc", "hash", "signature").join(live.select("id").distinct(), "id", "left_semi")
+    texts = docs.withColumnRenamed("id", "own").join(signs.hint("merge"), "hash").where("own <=> doc")
+    # of repeated rows one is read; they lie together already
+    texts = materialize(texts.dropDuplicates(["hash", "id"]).select("id", "text", "signature"), "texts")
     # first against one leader each; then against the others that are not in the same component yet
     best = pairs.groupBy("id").agg(F.min(F.struct("order", "leader")).alias("best"))
     best = materialize(best.select("id", F.col("best.leader").alias("leader")), "best-pairs")
@@ -352,16 +346,44 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: f
     rest = materialize(_open_links(live, labels, texts, threshold), "links")
     if not rest.isEmpty():
         labels = components(links.union(rest))
-    return members.join(labels.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
-        F.col("id").alias(key), F.coalesce("label", "node").alias("class_id")
-    )
+    named = copies.select("node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = materialize(named, "named")
+    ids = named.groupBy("label").agg(F.min("least").alias("class_id"))
+    return members, named.join(ids, "label").select("node", "label", "class_id")
 
 
-def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", **params) -> DataFrame:
-    """One row of each class, with all columns: the one with the least key.
+def classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
+    """Rows (key, class_id), one for each row of ``df``.
 
-    Of rows with the same key one stays. Rows with a null key stay.
+    Two texts are linked when the exact probability Jaccard of their five-word
+    shingles is ``threshold`` or more; a class is a connected component, named by
+    its least key. Texts with the same words are one document from the start;
+    a text of one to four words is a single shingle. Texts without words are in
+    a class with texts equal to them; a row with a null text is alone. A key says
+    nothing about the text: rows with the same key and different texts may lie in
+    different classes. A class of null keys alone has a null name. An empty table
+    gives no rows.
+
+    At the threshold a pair shares no band with a probability of 5e-5, and less
+    the more similar it is.
     """
-    kept = classes(df, key, text, **params).select(F.col("class_id").alias(key)).distinct()
-    chosen = df.join(kept, key, "left_semi").dropDuplicates([key])
-    return chosen.unionByName(df.where(F.col(f"`{key}`").isNull()))
+    members, named = _classed(df, key, text, threshold)
+    return members.join(named, "node").select(F.col("id").alias(key), "class_id")
+
+
+def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
+    """One row of each class, with all columns: the one with the least key, nulls last, then the least content.
+
+    Of rows equal in key and text one stays.
+    """
+    members, named = _classed(df, key, text, threshold)
+    order = F.struct(F.col("id").isNull().alias("null"), "id", "high", "low", "hash")
+    first = members.groupBy("node").agg(F.min(order).alias("first")).join(named.select("node", "label"), "node")
+    kept = first.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.hash").alias(HASH), F.col("first.id").alias(OWN))
+    marked = df.withColumn(HASH, F.xxhash64(F.col(f"`{key}`").cast("string"), F.col(f"`{text}`").cast("string")))
+    same = (marked[HASH] == kept[HASH]) & marked[key].eqNullSafe(kept[OWN])
+    chosen = marked.join(kept.distinct(), same, "left_semi")
+    return chosen.dropDuplicates([HASH, key]).drop(HASH)
+
+
+HASH, OWN = "_near_hash", "_near_key"
