@@ -73,6 +73,8 @@ DATE_FORMS = (
 # Texts that read as a whole number and as a number.
 INTEGER = r"^[+-]?\d+$"
 DECIMAL = r"^[+-]?\d+(\.\d+)?$"
+#: Whole numbers and fractions that need no trimming: no date form and no exponent fits these.
+PLAIN = r"\A[+-]?[0-9]+(\.[0-9]+)?\z"
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 BOOLEANS = ("True", "TRUE", "true", "False", "FALSE", "false")
 INT_MAX, LONG_MAX = 2147483647, 9223372036854775807
@@ -172,7 +174,8 @@ def _cells(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = rows.select("*", F.when(~F.col("header"), F.from_csv("record", shape, options)).alias("cells"))
     # Rows that do not fit the schema are kept as text: short ones and those with more cells.
-    extra = F.col(f"cells.{CORRUPT}").isNotNull() & (csv_records.n_cells(F.col("record")) > len(names))
+    # A condition of its own: what stands twice behind an "and" is worked out for every row.
+    extra = F.when(F.col(f"cells.{CORRUPT}").isNotNull(), csv_records.n_cells(F.col("record")) > len(names)).otherwise(False)
     missing = ", ".join(f"'{text}'" for text in MISSING_TEXTS)
     known = [
         F.expr(f"CASE WHEN cells.c{i} NOT IN ({missing}) THEN cells.c{i} END").alias(name)
@@ -184,16 +187,18 @@ def _cells(rows: DataFrame, names: Sequence[str]) -> DataFrame:
 def _measure(cells: DataFrame, statistics: bool) -> tuple[dict[str, int], dict[str, dict]]:
     """Counts of headers, open lines and rows with too many cells; statistics of the columns if wanted. One scan."""
     names = [c for c in cells.columns if c != FLAGS]
-    flags = [F.count_if(F.coalesce(f"{FLAGS}.{f}", F.lit(False))).alias(f"{FLAGS}{f}") for f in ("header", "open", "extra")]
-    row = cells.agg(*flags, *(_stat_columns(names) if statistics else ())).first()
-    counts = {f: row[f"{FLAGS}{f}"] for f in ("header", "open", "extra")}
-    stats = {name: row[name].asDict() for name in names} if statistics else {}
-    for stat in stats.values():
+    flags = {f: F.coalesce(f"{FLAGS}.{f}", F.lit(False)) for f in ("header", "open", "extra")}
+    if not (statistics and names):
+        return cells.agg(*[F.count_if(flag).alias(f) for f, flag in flags.items()]).first().asDict(), {}
+    # the flags of a row stand with each of its cells, and are counted with the first
+    found = _statistics(cells, names, {f: F.count_if(flag & (F.col(PLACE) == 0)).alias(f) for f, flag in flags.items()})
+    counts = {f: found[names[0]][f] for f in flags}
+    for stat in found.values():
         stat["rows"] -= counts["header"]
-    return counts, stats
+    return counts, found
 
 
-CORRUPT, FLAGS = "_corrupt_record", "_flags"
+CORRUPT, FLAGS, PLACE, CELL = "_corrupt_record", "_flags", "_place", "_cell"
 
 
 def _refuse_extra_cells(rows: int) -> None:
@@ -218,8 +223,7 @@ def infer_rules(raw: DataFrame, threshold: float = 0.6) -> list[ColumnRule]:
     Other columns are dates if such a share parses, and text otherwise. Scale
     follows the longest fraction, width the largest number.
     """
-    row = raw.agg(*_stat_columns(raw.columns)).first()
-    return _rules({name: row[name].asDict() for name in raw.columns}, threshold)
+    return _rules(_statistics(raw, raw.columns), threshold)
 
 
 def _rules(stats: dict[str, dict], threshold: float = 0.6) -> list[ColumnRule]:
@@ -239,32 +243,48 @@ def _rules(stats: dict[str, dict], threshold: float = 0.6) -> list[ColumnRule]:
     return rules
 
 
-def _stat_columns(names: Sequence[str]) -> list[Column]:
-    """Counts over all rows, one struct for each column."""
+def _statistics(df: DataFrame, names: Sequence[str], more: Mapping[str, Column] | None = None) -> dict[str, dict]:
+    """Counts over all rows for each column, with ``more`` aggregates of the rows (place, cell, flags) of its cells.
+
+    Cells are counted one below the other, so that the expressions do not grow with
+    the number of columns. Plain numbers are told by one pattern, and no other is tried
+    on them; date forms are tried only on cells that begin like one of them.
+    """
+    if not names:
+        return {}
+    more = dict(more or {})
+    cells = F.posexplode(F.array(*[F.col(_quoted(n)) for n in names])).alias(PLACE, CELL)
+    rows = df.select(cells, *([F.col(FLAGS)] if FLAGS in df.columns else []))
+    rows = rows.withColumn("low", F.expr(f"coalesce(ascii({CELL}) <= ascii('9'), false)"))
+    rows = rows.withColumn("plain", F.expr(f"low AND {_matches(CELL, PLAIN)}"))
+    rows = rows.withColumn("number", F.expr(f"plain OR (low AND {_matches(CELL, NUMBER)})"))
+    text = f"trim({CELL})"
+    rows = rows.withColumn("value", F.expr(f"CASE WHEN number THEN try_cast({text} AS double) END"))
+    power = f"coalesce(try_cast(regexp_extract({text}, '[eE]([+-]?[0-9]+)$', 1) AS INT), 0)"
+    fraction = f"length(regexp_extract({text}, '[.]([0-9]*?)0*([eE]|$)', 1))"
+    whole = f"length(regexp_extract({text}, '^[+-]?0*([0-9]*)', 1))"
+    plain_fraction = f"CASE WHEN contains({CELL}, '.') THEN length(rtrim('0', substring_index({CELL}, '.', -1))) ELSE 0 END"
+    plain_whole = f"length(ltrim('+-0', substring_index({CELL}, '.', 1)))"
     flags = ", ".join(f"'{text}'" for text in BOOLEANS)
-    structs = []
-    for name in names:
-        cell = _quoted(name)
-        text, value = f"trim({cell})", _number(cell, "double")
-        power = f"coalesce(try_cast(regexp_extract({text}, '[eE]([+-]?[0-9]+)$', 1) AS INT), 0)"
-        fraction = f"length(regexp_extract({text}, '[.]([0-9]*?)0*([eE]|$)', 1))"
-        whole = f"length(regexp_extract({text}, '^[+-]?0*([0-9]*)', 1))"
-        fields = {
-            "rows": "count(1)",
-            "known": f"count({cell})",
-            "length": f"coalesce(max(length({cell})), 0)",
-            "numbers": f"count({value})",
-            "decimals": f"count_if({_matches(text, DECIMAL)})",
-            "wholes": f"count_if({_matches(text, INTEGER)})",
-            "largest": f"max(abs({value}))",
-            "scale": f"coalesce(max(CASE WHEN {_matches(cell, NUMBER)} THEN greatest(0, {fraction} - {power}) END), 0)",
-            "digits": f"coalesce(max(CASE WHEN {_matches(cell, NUMBER)} THEN greatest(0, {whole} + {power}) END), 0)",
-            "booleans": f"count_if({cell} IN ({flags}))",
-            "dates": f"count({_date(cell)})",
-        }
-        body = ", ".join(f"{sql} AS {field}" for field, sql in fields.items())
-        structs.append(F.expr(f"struct({body}) AS {cell}"))
-    return structs
+    # anchored as a whole: alternatives would be tried at every place of the cell
+    dated = f"^(?:{'|'.join(pattern for pattern, _ in DATE_FORMS)})"
+    fields = {
+        "rows": "count(1)",
+        "known": f"count({CELL})",
+        "length": f"coalesce(max(length({CELL})), 0)",
+        "numbers": "count(value)",
+        "decimals": f"count_if(CASE WHEN plain THEN true WHEN low THEN {_matches(text, DECIMAL)} END)",
+        "wholes": f"count_if(CASE WHEN plain THEN NOT contains({CELL}, '.') WHEN low THEN {_matches(text, INTEGER)} END)",
+        "largest": "max(abs(value))",
+        "scale": f"coalesce(max(CASE WHEN plain THEN {plain_fraction} WHEN number THEN greatest(0, {fraction} - {power}) END), 0)",
+        "digits": f"coalesce(max(CASE WHEN plain THEN {plain_whole} WHEN number THEN greatest(0, {whole} + {power}) END), 0)",
+        "booleans": f"count_if({CELL} IN ({flags}))",
+        "dates": f"count(CASE WHEN NOT plain AND {_matches(text, dated)} THEN {_date(CELL)} END)",
+    }
+    found = rows.groupBy(PLACE).agg(*[F.expr(sql).alias(f) for f, sql in fields.items()], *more.values()).collect()
+    # without rows no column is found
+    none = dict.fromkeys([*fields, *more], 0) | {"largest": None}
+    return {name: none.copy() for name in names} | {names[r[PLACE]]: r.asDict() for r in found}
 
 
 def _int_type(stat: dict) -> DataType:
