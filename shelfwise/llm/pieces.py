@@ -52,7 +52,13 @@ class PieceModel:
             raise ValueError("the tokenizer does more than split by the byte-level pattern")
         self.model = tokenizer.model
         self.letters = {b: c for c, b in byte_letters().items()}
+        self.blank = self.letters[ord(" ")]
 
     def ids(self, piece: str) -> list[int]:
         """Ids of one piece."""
-        return [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
+        word = piece[1:] if piece[:1] == " " else piece
+        if word.isalnum() and word.isascii():  # their letters stand for themselves
+            letters = piece if word is piece else self.blank + word
+        else:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(letters)]

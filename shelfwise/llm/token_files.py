@@ -41,6 +41,34 @@ ORC_OPTIONS = {
 }
 
 
+class _Kept(dict):
+    """Ids of pieces as bytes, worked out when first asked for, in two generations.
+
+    What is asked of the older one moves to the newer; long pieces are kept for a
+    batch only.
+    """
+
+    def __init__(self, model: PieceModel):
+        super().__init__()
+        self.model = model
+        self.older: dict[str, bytes] = {}
+        self.long: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        long = len(piece) > KEPT_CHARS
+        found = (self.long if long else self.older).get(piece)
+        if found is None:
+            found = array("I", self.model.ids(piece)).tobytes()
+        if long:
+            self.long[piece] = found
+            return found
+        if len(self) >= KEPT_PIECES:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = found
+        return found
+
+
 class PieceTokenizer:
     """A byte-level tokenizer that is asked for each distinct piece once.
 
@@ -57,32 +85,18 @@ class PieceTokenizer:
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         # The same pieces on texts of ASCII and Latin-1 letters, for the faster ``re``.
         self.plain_split = plain_splitter()
-        self.pieces = PieceModel(self.tokenizer)
-        #: Two generations: what a batch needs of the older one moves to the newer.
-        self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.kept = _Kept(PieceModel(self.tokenizer))
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        whole = {t: b"" for t in texts if t and self.added(t)}
-        for t in whole:
-            whole[t] = array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes()
-        split = [(self.plain_split if is_plain(t) else self.split)(t) if t and t not in whole else [] for t in texts]
-        new: set[str] = set()
-        for pieces in split:
-            new.update(pieces)
-        new.difference_update(self.kept)
-        if len(self.kept) + len(new) > KEPT_PIECES:
-            self.older, self.kept = self.kept, {}
-            new = {p for pieces in split for p in pieces}
-        once, older, ids = self.kept, self.older, self.pieces.ids
-        for piece in new:
-            once[piece] = older[piece] if piece in older else array("I", ids(piece)).tobytes()
-        out = [whole[t] if t in whole else b"".join(map(once.__getitem__, pieces)) for t, pieces in zip(texts, split)]
-        for piece in new:
-            if len(piece) > KEPT_CHARS:
-                del once[piece]
-        return out
+        self.kept.long.clear()
+        return [self._encode(t) if t else b"" for t in texts]
+
+    def _encode(self, text: str) -> bytes:
+        if self.added(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        split = self.plain_split if text.isascii() or is_plain(text) else self.split
+        return b"".join(map(self.kept.__getitem__, split(text)))
 
 
 def write_tokens(

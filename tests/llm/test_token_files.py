@@ -58,3 +58,16 @@ def test_added_tokens_are_those_of_the_untouched_library(make):
         start += len(ids)
     assert want[1][2] == 5
     assert sorted(map(tuple, token_files.token_files(make(rows)).collect())) == want
+
+
+def test_generations_hold_within_a_batch(monkeypatch):
+    """However many pieces a batch has, a worker keeps two generations of them; ids stay those of the library."""
+    monkeypatch.setattr(token_files, "KEPT_PIECES", 10)
+    with open(token_files.TOKENIZER_FILE, encoding="utf-8") as file:
+        tokenizer = token_files.PieceTokenizer(file.read())
+    words = " ".join(f"word{i} Ünï{i % 7} it's" for i in range(50))
+    texts = [words, words, None, "", "x" * 100 + " " + "y" * 100, " 1  a\n\tb", "語 ñ\x00", "a <|endoftext|> b"]
+    for _ in range(2):
+        found = tokenizer.encode_batch(texts)
+        assert [list(np.frombuffer(x, "<u4")) for x in found] == [TRUTH.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert 0 < len(tokenizer.kept) <= 10 and len(tokenizer.kept.older) <= 10
