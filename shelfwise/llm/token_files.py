@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +25,15 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from shelfwise.llm.common import Sent, map_text, materialize, prepare, scratch_path, string_type
-from shelfwise.llm.pieces import PieceModel, is_plain, plain_splitter
+from shelfwise.llm.pieces import NOT_PLAIN, PieceModel, split_plain
 
 TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 #: Pieces of one generation whose ids a worker keeps, and the longest piece worth keeping.
 KEPT_PIECES = 200_000
 KEPT_CHARS = 64
+#: Bytes of text that are split at once: few distinct pieces for many, and a bounded block.
+BLOCK_BYTES = 8 << 20
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
@@ -73,30 +76,78 @@ class PieceTokenizer:
     """A byte-level tokenizer that is asked for each distinct piece once.
 
     Its merges never cross the pieces of the splitting pattern, so the ids of a
-    text are those of its pieces. Texts that hold an added token, which is found
-    before the text is split, are encoded whole.
+    text are those of its pieces. A block of plain texts (ASCII and Latin-1 letters)
+    is split at once and its distinct pieces are numbered by Arrow; other texts are
+    split one by one. Texts that hold an added token, which is found before the text
+    is split, are encoded whole.
     """
 
     def __init__(self, json_text: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task on a core
         self.tokenizer = Tokenizer.from_str(json_text)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE).search if added else lambda text: None
+        self.added = "|".join(map(re.escape, added))
+        self.has_added = re.compile(self.added, re.IGNORECASE).search if added else lambda text: None
         self.split = regex.compile(public_tokenizers.PATTERN).findall
-        # The same pieces on texts of ASCII and Latin-1 letters, for the faster ``re``.
-        self.plain_split = plain_splitter()
         self.kept = _Kept(PieceModel(self.tokenizer))
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
+        lists = self.encode(pa.array(texts, pa.string()), END_ID)
+        return [np.asarray(x.values, "<i4")[:-1].tobytes() for x in lists]
+
+    def encode(self, texts: pa.Array, end_id: int) -> pa.ListArray:
+        """Ids of each text and ``end_id``, of a null or empty one ``end_id`` alone."""
         self.kept.long.clear()
-        return [self._encode(t) if t else b"" for t in texts]
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        odd = pc.match_substring_regex(texts, NOT_PLAIN)
+        if self.added:
+            odd = pc.or_(odd, pc.match_substring_regex(texts, self.added, ignore_case=True))
+        if not pc.any(odd, min_count=0).as_py():
+            return self._encode_plain(texts, end_id)
+        end = array("I", [end_id]).tobytes()
+        apart = _lists([self._encode(t) + end for t in texts.filter(odd).to_pylist()])
+        both = pa.concat_arrays([self._encode_plain(texts.filter(pc.invert(odd)), end_id), apart])
+        odd = odd.to_numpy(zero_copy_only=False)
+        return both.take(pa.array(np.argsort(np.argsort(odd, kind="stable"))))
 
     def _encode(self, text: str) -> bytes:
-        if self.added(text):
+        if self.has_added(text):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        split = self.plain_split if text.isascii() or is_plain(text) else self.split
-        return b"".join(map(self.kept.__getitem__, split(text)))
+        return b"".join(map(self.kept.__getitem__, self.split(text)))
+
+    def _encode_plain(self, texts: pa.Array, end_id: int) -> pa.ListArray:
+        split = split_plain(texts)
+        pieces, ends = split.values.dictionary_encode(), split.offsets.to_numpy()
+        found = [self.kept[p] for p in pieces.dictionary.to_numpy(zero_copy_only=False)]
+        codes = np.insert(pieces.indices.to_numpy(), ends[1:], len(found))
+        ids = _lists([*found, array("I", [end_id]).tobytes()]).take(pa.array(codes))
+        ends = ends + np.arange(len(ends), dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ids.offsets.to_numpy()[ends]), ids.values)
+
+
+def _lists(ids: list[bytes]) -> pa.ListArray:
+    offsets = np.zeros(len(ids) + 1, np.int32)
+    np.cumsum(np.fromiter(map(len, ids), np.int32, len(ids)) // 4, out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+
+
+def text_blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in blocks of about ``BLOCK_BYTES`` of text, whatever its rows' lengths."""
+    held, size = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(), dtype=np.int64)
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + BLOCK_BYTES - size, "right")))
+            held.append(batch.slice(start, stop - start))
+            size, start = size + int(ends[stop - 1] - before), stop
+            if start < len(ends) or size >= BLOCK_BYTES:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
 
 
 def write_tokens(
@@ -113,15 +164,11 @@ def write_tokens(
     spark = prepare(df.sparkSession)
     with open(tokenizer_file, encoding="utf-8") as file:
         sent = Sent(spark, file.read())
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         tokenizer = sent.made(PieceTokenizer)
-        for batch in batches:
-            found = tokenizer.encode_batch(batch.column(2).to_pylist())
-            ids = np.frombuffer(b"".join(x + end for x in found), "<i4")
-            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 + 1 for x in found])]).astype(np.int32)
-            yield [batch.column(0), batch.column(1), pa.ListArray.from_arrays(offsets, pa.array(ids))]
+        for block in text_blocks(batches, 2):
+            yield [block.column(0), block.column(1), tokenizer.encode(block.column(2), end_id)]
 
     ordered = (
         df.select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), *string_type(df, [text]))

@@ -1,11 +1,14 @@
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.orc
 import pytest
 from tokenizers import Tokenizer
 
 from shelfwise.llm import token_files
+from shelfwise.llm.pieces import plain_splitter, split_plain
 
 from .conftest import ODD
 
@@ -71,3 +74,35 @@ def test_generations_hold_within_a_batch(monkeypatch):
         found = tokenizer.encode_batch(texts)
         assert [list(np.frombuffer(x, "<u4")) for x in found] == [TRUTH.encode(t or "", add_special_tokens=False).ids for t in texts]
         assert 0 < len(tokenizer.kept) <= 10 and len(tokenizer.kept.older) <= 10
+
+
+def test_a_block_asks_for_a_distinct_piece_once(monkeypatch):
+    """Even where a worker keeps next to none of them."""
+    monkeypatch.setattr(token_files, "KEPT_PIECES", 1)
+    with open(token_files.TOKENIZER_FILE, encoding="utf-8") as file:
+        tokenizer = token_files.PieceTokenizer(file.read())
+    asked, ids = [], tokenizer.kept.model.ids
+    monkeypatch.setattr(tokenizer.kept.model, "ids", lambda piece: asked.append(piece) or ids(piece))
+    texts = [" one two  three it's" * 20, None, "", "three two" * 20]
+    found = tokenizer.encode(pa.array(texts), 7).to_pylist()
+    assert found == [[*TRUTH.encode(t or "", add_special_tokens=False).ids, 7] for t in texts]
+    assert sorted(asked) == sorted(set(asked))
+
+
+def test_plain_texts_are_split_as_by_the_pattern():
+    signs, rng = [*"'''stmdrevlSTL bZéÿß09  \t\n\r\f\v!.-#\x00\x1c\x7f", "'ll", "'re", "n't", " '"], random.Random(5)
+    texts = ["".join(rng.choices(signs, k=rng.randrange(30))) for _ in range(3000)]
+    for some in (texts, [], ["", ""]):
+        array = pa.array(["x'", *some, "ll"], pa.string()).slice(1, len(some))
+        assert split_plain(array).to_pylist() == [plain_splitter()(t) for t in some]
+
+
+def test_blocks_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK_BYTES", 10)
+    texts = ["a" * n for n in (1, 2, 3, 30, 1, 9, 1, 0, 4)] + [None, "é", "b" * 25, "c"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 4])], ["text"]) for i in range(0, len(texts), 4)]
+    blocks = [b.column(0).to_pylist() for b in token_files.text_blocks(iter(batches), 0)]
+    assert sum(blocks, []) == texts and 1 < len(blocks) < len(texts)
+    for block in blocks:  # a block goes beyond the bound by no more than one text
+        assert sum(len((t or "").encode()) for t in block[:-1]) < 10
+    assert list(token_files.text_blocks(iter([batches[0].slice(0, 0)]), 0)) == []
