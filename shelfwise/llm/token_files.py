@@ -30,10 +30,10 @@ from shelfwise.llm.pieces import NOT_PLAIN, PieceModel, split_plain
 TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 #: Pieces of one generation whose ids a worker keeps, and the longest piece worth keeping.
-KEPT_PIECES = 200_000
+KEPT_PIECES = 300_000
 KEPT_CHARS = 64
 #: Bytes of text that are split at once: few distinct pieces for many, and a bounded block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
